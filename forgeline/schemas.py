@@ -6,9 +6,27 @@ from pyspark.sql import types as T
 
 LAYERS = ("ods", "dwh")
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<bigint>": T.ArrayType(T.LongType()),
+    "array<double>": T.ArrayType(T.DoubleType()),
+}
+
+
+def struct(columns: str) -> T.StructType:
+    """``"name type, name type"`` as a schema, without needing a session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
 # The star schema. (name, type) per table; ``ods`` columns exist only in
 # the operational layer, ``dwh`` columns only in the reporting layer.
-_BOTH, _ODS, _DWH = ("ods", "dwh"), ("ods",), ("dwh",)
+_BOTH, _ODS, _DWH = LAYERS, ("ods",), ("dwh",)
 _TABLES = {
     "dim_part_information": [
         ("trscPartId", "bigint", _ODS),
@@ -99,8 +117,7 @@ TABLE_NAMES = (
 def table_schema(table: str, layer: str) -> T.StructType:
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
-    fields = ", ".join(f"`{name}` {kind}" for name, kind, layers in _TABLES[table] if layer in layers)
-    return T.StructType.fromDDL(fields)
+    return struct(", ".join(f"{name} {kind}" for name, kind, layers in _TABLES[table] if layer in layers))
 
 
 # The transactional id column of each ODS column that has one.
@@ -132,14 +149,10 @@ TOPICS = ("material", "material_prices", "part_information", "machine", "supply_
 
 
 def message_schema(topic: str) -> T.StructType:
-    return T.StructType.fromDDL(MESSAGE_FIELDS[topic])
+    return struct(MESSAGE_FIELDS[topic])
 
 
-MACHINE_LOG = T.StructType.fromDDL(
-    "`order` bigint, partId bigint, machineId bigint, timeOfProduction bigint, var5 int"
-)
-MESSAGE_LOG = T.StructType.fromDDL("topic string, `partition` int, `offset` bigint, value string")
-PART_REFERENCE = T.StructType.fromDDL(
-    "id bigint, timeToProduce double, defaultPrice double, meterials string, machine string"
-)
-MATERIAL_SHEET = T.StructType.fromDDL("id bigint, name string, prices string")
+MACHINE_LOG = struct("order bigint, partId bigint, machineId bigint, timeOfProduction bigint, var5 int")
+MESSAGE_LOG = struct("topic string, partition int, offset bigint, value string")
+PART_REFERENCE = struct("id bigint, timeToProduce double, defaultPrice double, meterials string, machine string")
+MATERIAL_SHEET = struct("id bigint, name string, prices string")
