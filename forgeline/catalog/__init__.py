@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     subqueries,
+    scalars,
     tables,
+    relational,
+    changes,
 )
 from .registry import ORACLES, QUERIES, complete_sql
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import marts, run, staging
+from ..plans import marts, staging
 from .registry import Inputs, query
 
 
@@ -60,6 +60,74 @@ _CALENDAR = """SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS timeId, date,
 FROM {}"""
 
 
+def _calendar_sql(spine: str, counts: str) -> str:
+    return _CALENDAR.format(spine).replace("FROM", ", coalesce(n, 0) AS rowsOfDay FROM", 1) + f" LEFT JOIN ({counts}) USING (date)"
+
+
+def with_row_counts(calendar: DataFrame, rows: DataFrame, date: str) -> DataFrame:
+    """The calendar with the number of rows of each day, days without any included."""
+    counts = rows.groupBy(F.col(date).alias("date")).agg(F.count("*").alias("n"))
+    return calendar.join(counts, "date", "left").select(
+        *calendar.columns, F.coalesce("n", F.lit(0)).alias("rowsOfDay")
+    )
+
+
+_LOG_COUNTS = "SELECT timeOfProduction AS date, count(*) AS n FROM v_log_days GROUP BY 1"
+
+
+@query("build_dim_time", _calendar_sql("v_calendar", _LOG_COUNTS))
+def build_dim_time(i: Inputs) -> DataFrame:
+    """The whole calendar, with the log rows of each day."""
+    log = staging.production_days(i.log)
+    return with_row_counts(staging.build_dim_time(i.spark), log, "timeOfProduction")
+
+
+@query(
+    "build_dim_time_monthly",
+    _calendar_sql(
+        "(SELECT CAST(DATE '1920-01-01' + to_months(CAST(n AS INTEGER)) AS DATE) AS date FROM range(65379) AS t(n))",
+        _LOG_COUNTS,
+    ),
+)
+def build_dim_time_monthly(i: Inputs) -> DataFrame:
+    log = staging.production_days(i.log)
+    return with_row_counts(staging.build_dim_time(i.spark, step="month"), log, "timeOfProduction")
+
+
+@query("mart_dim_time", _calendar_sql("v_calendar", "SELECT date, count(*) AS n FROM v_sales GROUP BY 1"))
+def mart_dim_time(i: Inputs) -> DataFrame:
+    """The reporting calendar, with the sales of each day."""
+    return with_row_counts(marts.project_dim(i.ods("dim_time"), "dim_time"), i.ods("fact_sales"), "date")
+
+
+@query(
+    "date_spine",
+    """SELECT s.date, coalesce(c.n, 0) AS rowsOfDay FROM (
+  SELECT CAST(unnest(generate_series(min(o_orderdate), max(o_orderdate), INTERVAL 1 DAY)) AS DATE) AS date FROM orders) s
+LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS n FROM orders GROUP BY 1) c USING (date)""",
+)
+def date_spine(i: Inputs) -> DataFrame:
+    """Every day between the first and the last order, with its orders."""
+    orders = i.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    span = orders.agg(F.min("day").alias("a"), F.max("day").alias("b"))
+    return with_row_counts(span.select(F.explode(F.sequence("a", "b")).alias("date")), orders, "day")
+
+
+@query("build_dim_material", "SELECT CAST(n_nationkey AS BIGINT) AS materialId, n_name AS name, run_ts AS lastUpdate FROM nation, v_run")
+def build_dim_material(i: Inputs) -> DataFrame:
+    return staging.build_dim_material(i.material_raw, i.run_ts)
+
+
+@query("build_dim_part", "SELECT p_partkey AS partId, CAST(p_size AS DOUBLE) AS timeToProduce, run_ts AS lastUpdate FROM part, v_run")
+def build_dim_part(i: Inputs) -> DataFrame:
+    return staging.build_dim_part(i.part_raw, i.run_ts)
+
+
+@query("build_dim_contract", "SELECT DISTINCT contractId, clientName, run_ts AS lastUpdate FROM v_sales, v_run")
+def build_dim_contract(i: Inputs) -> DataFrame:
+    return staging.build_dim_contract(i.sales, i.run_ts)
+
+
 @query("build_fact_supply_chain_ods", "SELECT f.*, run_ts AS lastUpdate FROM v_fact f, v_run")
 def build_fact_supply_chain_ods(i: Inputs) -> DataFrame:
     return staging.build_fact_supply_chain(i.log, i.bridge, i.quotes, i.machines, i.run_ts)
@@ -70,6 +138,28 @@ def mart_fact_supply_chain(i: Inputs) -> DataFrame:
     return marts.fact_supply_chain(i.ods("fact_supply_chain"))
 
 
+_KEEP_UNDAMAGED = """SELECT DISTINCT main.machineId, main.partId, main.materialId, main.timeId, main.materialPrice,
+  main.materialPriceDate, main.partDefaultPrice, mp.n AS CountProductionMachine, pp.n AS CountProductionPart,
+  coalesce(g.n, 0) AS GarbageProduction
+FROM v_fact main
+JOIN (SELECT timeId, machineId, count(timeOfProduction) AS n FROM {units} GROUP BY ALL) mp USING (timeId, machineId)
+JOIN (SELECT timeId, partId, count(timeOfProduction) AS n FROM {units} GROUP BY ALL) pp USING (timeId, partId)
+{how} JOIN (SELECT timeId, count(timeOfProduction) AS n FROM {units} WHERE {damaged} = 1 GROUP BY ALL) g USING (timeId)"""
+
+
+@query("mart_fact_supply_chain_all_days", _KEEP_UNDAMAGED.format(units="v_fact", how="LEFT", damaged="isDamaged"))
+def mart_fact_supply_chain_all_days(i: Inputs) -> DataFrame:
+    """Days without a damaged unit kept, with a count of 0."""
+    return marts.fact_supply_chain(i.ods("fact_supply_chain"), keep_undamaged=True)
+
+
+@query("mart_fact_supply_chain_units", _KEEP_UNDAMAGED.format(units="v_log_days", how="", damaged="var5"))
+def mart_fact_supply_chain_units(i: Inputs) -> DataFrame:
+    """Counts of produced units, taken before a unit is repeated per material and quote."""
+    units = staging.production_days(i.log).withColumnRenamed("var5", "isDamaged")
+    return marts.fact_supply_chain(i.ods("fact_supply_chain"), unit_log=units)
+
+
 @query(
     "mart_fact_sales",
     """SELECT partId, contractId, timeId, round(cash, 2) AS cash, date, PartPurchasedPerDay,
