@@ -8,6 +8,8 @@ from . import (  # noqa: F401
     tables,
     relational,
     changes,
+    storage,
+    streams,
 )
 from .registry import ORACLES, QUERIES, complete_sql
 

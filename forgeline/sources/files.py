@@ -47,8 +47,11 @@ def scan_csv_quarantine(
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )
-    good = df.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
-    bad = df.filter(F.col(CORRUPT).isNotNull()).select(
+    # The filters look at every column: a scan which prunes columns does not notice a bad
+    # value in one it skips, and Spark refuses to read nothing but the corrupt-line column.
+    all_read = F.concat_ws(",", *schema.fieldNames()) != F.lit("\0")
+    good = df.filter(F.col(CORRUPT).isNull() & all_read).select(*schema.fieldNames())
+    bad = df.filter(F.col(CORRUPT).isNotNull() & all_read).select(
         F.col("_metadata.file_name").alias("file_name"), F.col(CORRUPT).alias("line")
     )
     return good, bad
