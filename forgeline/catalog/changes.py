@@ -153,7 +153,7 @@ def all_rejects(i: Inputs) -> DataFrame:
     """Messages that cannot be applied, each with the reason."""
     parts = [ch.unknown_topics(i.messages)]
     parts += [ch.rejects(ch.parse_topic(i.messages, t)) for t in schemas.MESSAGE_FIELDS]
-    parts.append(ch.unmatched_messages(i.supply_rows, i.visible_quotes, i.key_map("partId")))
+    parts.append(ch.unmatched_messages(i.supply_rows, i.visible_quotes, i.part_ids))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -182,7 +182,7 @@ def reject_messages(i: Inputs) -> DataFrame:
 
 @query("unmatched_messages", _UNMATCHED)
 def unmatched_messages(i: Inputs) -> DataFrame:
-    return ch.unmatched_messages(i.supply_rows, i.visible_quotes, i.key_map("partId")).drop("value")
+    return ch.unmatched_messages(i.supply_rows, i.visible_quotes, i.part_ids).drop("value")
 
 
 # -- keys ----------------------------------------------------------------------------------------------
@@ -207,7 +207,8 @@ def join_surrogate_lookup(i: Inputs) -> DataFrame:
 
 @query(
     "join_material_trsc",
-    "SELECT DISTINCT materialId, materialId AS trscMaterialId FROM v_visible",
+    """SELECT DISTINCT v.materialId, v.materialId AS trscMaterialId FROM v_visible v JOIN v_msg m
+  ON m.topic = 'supply_chain' AND NOT m.del AND m.part1 = v.partId AND year(m.made) = v.y""",
 )
 def join_material_trsc(i: Inputs) -> DataFrame:
     return ch.material_trsc(i.ods("dim_material"), i.visible_quotes)
@@ -323,7 +324,7 @@ _TUPLE = "materialId, materialPrice, materialPriceDate, partDefaultPrice"
 
 @query("join_message_quotes", f"SELECT seq, {_TUPLE} FROM v_supply_priced")
 def join_message_quotes(i: Inputs) -> DataFrame:
-    joined = ch.join_message_quotes(i.supply_rows, i.visible_quotes, i.key_map("partId"))
+    joined = ch.join_message_quotes(i.supply_rows, i.visible_quotes, i.part_ids)
     return joined.select("seq", *_TUPLE.split(", "))
 
 
@@ -335,7 +336,7 @@ FROM v_supply_priced""",
 )
 def append_message_fields(i: Inputs) -> DataFrame:
     """The listed message fields behind each quote tuple, in list order."""
-    joined = ch.join_message_quotes(i.supply_rows, i.visible_quotes, i.key_map("partId"))
+    joined = ch.join_message_quotes(i.supply_rows, i.visible_quotes, i.part_ids)
     wanted = ["materialIdODS", "timeId", "trscMachineId", "trscPartId", "timeOfProduction", "isDamaged", "lastUpdate"]
     return ch.pick_fields(joined, [*_TUPLE.split(", "), *wanted])
 

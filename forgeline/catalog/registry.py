@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import fixtures, schemas
 from ..operators import changes as ch
 from ..operators import keys as key_ops
-from ..operators.layers import to_ods
-from ..plans import run
-from ..plans import staging
+from ..plans import run, staging
 from ..session import apply_settings, work_dir
+from ..sources.messages import read_message_files
+from ..sources.tables import scan_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,11 +51,23 @@ class Inputs:
 
     @cached_property
     def part_raw(self) -> DataFrame:
-        return fixtures.part_raw(self.spark, self.sf_dir)
+        """The part references, stored once like the sheet they stand for."""
+        path = self.once("part-reference", fixtures.part_raw(self.spark, self.sf_dir).write.parquet)
+        return self.spark.read.schema(schemas.PART_REFERENCE).parquet(path)
+
+    @cached_property
+    def message_files(self) -> str:
+        """The change log as JSON-lines files in arrival order, as producers leave it."""
+
+        def write(path: str) -> None:
+            log = fixtures.change_log(self.spark, self.sf_dir)
+            log.repartitionByRange("offset").sortWithinPartitions("offset").write.json(path)
+
+        return self.once("messages", write)
 
     @cached_property
     def messages(self) -> DataFrame:
-        return ch.with_seq(fixtures.change_log(self.spark, self.sf_dir))
+        return ch.with_seq(read_message_files(self.spark, self.message_files))
 
     @cached_property
     def bridge(self) -> DataFrame:
@@ -77,23 +89,34 @@ class Inputs:
     def ods_root(self) -> str:
         """The operational tables, loaded once per session and directory of tables: what a
         stored operational layer is to the reports."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "ods")
-        if key not in _stored:
-            root = self.work_dir("ods")
+
+        def write(root: str) -> None:
             run.load_ods(self.log, self.part_raw, self.material_raw, self.spark, self.run_ts, root)
-            _stored[key] = root
+
+        return self.once("ods", write)
+
+    def once(self, label: str, write: Callable[[str], None]) -> str:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
+        if key not in _stored:
+            path = self.work_dir(label)
+            write(path)
+            _stored[key] = path
         return _stored[key]
 
     def ods(self, table: str) -> DataFrame:
-        from ..sources.tables import scan_table
-
         return scan_table(self.spark, self.ods_root, table)
 
     # -- messages -------------------------------------------------------------------------
 
     @cached_property
     def parsed(self) -> dict[str, DataFrame]:
-        return {t: ch.accepted(ch.parse_topic(self.messages, t)) for t in schemas.MESSAGE_FIELDS}
+        """The messages that can be applied, per topic, stored once."""
+        return {t: self._parsed_topic(t) for t in schemas.MESSAGE_FIELDS}
+
+    def _parsed_topic(self, topic: str) -> DataFrame:
+        rows = ch.accepted(ch.parse_topic(self.messages, topic))
+        path = self.once(f"parsed-{topic}", rows.write.parquet)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def key_map(self, key: str) -> DataFrame:
         table = {k: t for t, k in (("dim_part_information", "partId"), ("dim_machine", "machineId"),
@@ -102,13 +125,17 @@ class Inputs:
         known = key_ops.known_keys(self.ods(table), trsc, key)
         return key_ops.assign_surrogate_keys(known, ch.seen_keys(self.parsed, key), trsc, key)
 
+    @cached_property
+    def part_ids(self) -> DataFrame:
+        return self.key_map("partId")
+
     @cached_property
     def supply_rows(self) -> DataFrame:
         return ch.supply_chain_rows(self.parsed["supply_chain"])
 
     @cached_property
     def visible_quotes(self) -> DataFrame:
-        return ch.visible_quotes(self.ods("fact_supply_chain"), self.supply_rows)
+        return ch.visible_quotes(self.ods("fact_supply_chain"), self.supply_rows, self.part_ids)
 
     def dim_changes(self, topic: str) -> DataFrame:
         """Loaded rows and message rows of a topic's dimension."""
@@ -124,7 +151,7 @@ class Inputs:
     @cached_property
     def supply_changes(self) -> DataFrame:
         changes = ch.supply_chain_changes(
-            self.supply_rows, self.visible_quotes, self.key_map("partId"), self.key_map("machineId"),
+            self.supply_rows, self.visible_quotes, self.part_ids, self.key_map("machineId"),
             self.ods("dim_material"),
         )
         return ch.as_changes(self.ods("fact_supply_chain")).unionByName(changes)

@@ -280,13 +280,19 @@ def part_workbooks(i: Inputs) -> DataFrame:
         content = _workbook(columns, rows[columns].fillna("").values.tolist())
         return pd.DataFrame({"path": [f"parts-{rows['book'].iloc[0]}.xlsx"], "content": [content]})
 
-    return text.groupBy("book").applyInPandas(pack, "path string, content binary")
+    packed = text.groupBy("book").applyInPandas(pack, "path string, content binary")
+    path = i.once("part-workbooks", packed.write.parquet)
+    return i.spark.read.schema(packed.schema).parquet(path)
+
+
+def part_sheet(books: DataFrame, sheet: str) -> DataFrame:
+    rows = workbooks.sheet_rows(books, schemas.PART_REFERENCE.fieldNames(), sheet)
+    return workbooks.project_sheet(rows, schemas.PART_REFERENCE)
 
 
 @query("scan_workbook", "SELECT * FROM v_part_raw")
 def scan_workbook(i: Inputs) -> DataFrame:
-    cells = workbooks.sheet_cells(part_workbooks(i), _SHEET)
-    return workbooks.project_sheet(cells, schemas.PART_REFERENCE)
+    return part_sheet(part_workbooks(i), _SHEET)
 
 
 @query(
@@ -299,8 +305,7 @@ def empty_sheet(i: Inputs) -> DataFrame:
     books = part_workbooks(i)
 
     def summary(sheet: str) -> DataFrame:
-        rows = workbooks.project_sheet(workbooks.sheet_cells(books, sheet), schemas.PART_REFERENCE)
-        return rows.agg(F.count("*").alias("rows"), F.min("id").alias("first")).select(
+        return part_sheet(books, sheet).agg(F.count("*").alias("rows"), F.min("id").alias("first")).select(
             F.lit(sheet).alias("sheet"), "rows", "first"
         )
 

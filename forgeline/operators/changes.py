@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import cells, dates
+from ..session import materialize
 from . import keys as key_ops
 from .aggregates import latest_by_key
-from .joins import join_to_groups
 
 BEFORE_ALL = -1
 _NEVER = 2**63 - 1
@@ -69,10 +69,14 @@ def parse_topic(messages: DataFrame, topic: str) -> DataFrame:
     why the message cannot be applied, NULL when it can."""
     schema = schemas.message_schema(topic).add("_unreadable", "string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unreadable"}
-    parsed = messages.filter(F.col("topic") == topic).select(
-        *_ORIGIN, F.from_json(F.col("value").cast("string"), schema, options).alias("m")
+    # A generator, not a projection: filters on the fields are not pushed below it, so the
+    # text is parsed once per message and not once per use of a field.
+    parsed = F.inline(F.array(F.from_json(F.col("value").cast("string"), schema, options)))
+    fields = (
+        messages.filter(F.col("topic") == topic)
+        .select(*_ORIGIN, parsed)
+        .withColumn("isDeleted", F.coalesce("isDeleted", F.lit(False)))
     )
-    fields = parsed.select(*_ORIGIN, "m.*").withColumn("isDeleted", F.coalesce("isDeleted", F.lit(False)))
     missing = F.lit(False)
     for name in _REQUIRED[topic]:
         missing = missing | F.col(name).isNull()
@@ -125,21 +129,19 @@ def apply_changes(changes: DataFrame, keys: list[str], mode: str = "append") ->
     """The table after a change log (``keys``, ``seq``, ``isDeleted`` and the other columns).
 
     ``append`` keeps every insert after the last delete of its key; ``upsert`` keeps only the
-    newest of them. Rows with a NULL key match no delete. Only keys with a delete take
-    part in the join, and a key with many rows is split.
+    newest of them. Rows with a NULL key match no delete.
+
+    The last deletes are written out first: they are few beside the rows, so the rows need no
+    shuffle while they fit a broadcast, and beyond that the join has two plain scans
+    below it, whose skewed partitions AQE splits.
     """
     if mode not in ("append", "upsert"):
         raise ValueError(f"unknown mode {mode!r}")
-    last_delete = (
-        changes.groupBy(*keys)
-        .agg(F.max(F.when(F.col("isDeleted"), F.col("seq"))).alias("_dead"), F.count("*").alias("_rows"))
-        .filter("_dead IS NOT NULL")
-    )
+    deletes = changes.filter("isDeleted").groupBy(*keys).agg(F.max("seq").alias("_dead"))
     inserts = changes.filter(~F.col("isDeleted"))
     kept = (
-        join_to_groups(inserts, last_delete, keys, "_rows", ["seq"], "left")
+        inserts.join(materialize(deletes, "deletes"), keys, "left")
         .filter(F.col("_dead").isNull() | (F.col("seq") > F.col("_dead")))
-        .drop("_dead")
         .select(*inserts.columns)
     )
     if mode == "upsert":
@@ -244,19 +246,31 @@ def supply_chain_rows(parsed: DataFrame) -> DataFrame:
     )
 
 
-def visible_quotes(fact: DataFrame, rows: DataFrame) -> DataFrame:
-    """The distinct quotes of each part and price year in the fact, and in ``goneAt`` the seq
-    of the delete among ``rows`` which removed the last fact row holding the quote."""
-    deletes = (
-        rows.filter("isDeleted").groupBy(*SUPPLY_CHAIN_KEY).agg(F.min("seq").alias("_dead"))
+def visible_quotes(fact: DataFrame, rows: DataFrame, part_map: DataFrame) -> DataFrame:
+    """The distinct quotes in the fact for each part and year the inserts among ``rows`` ask
+    for, and in ``goneAt`` the seq of the delete among ``rows`` which removed the last fact
+    row holding the quote."""
+    inserts, deletes = split_deletes(rows)
+    asked = (
+        inserts.select("trscPartId", F.year("timeOfProduction").alias("priceYear"))
+        .distinct()
+        .join(part_map.select("trscPartId", "partId"), "trscPartId")
+        .select("partId", "priceYear")
     )
+    first_delete = deletes.groupBy(*SUPPLY_CHAIN_KEY).agg(F.min("seq").alias("_dead"))
     quote = ["partId", "priceYear", "materialId", "materialPrice", "materialPriceDate", "partDefaultPrice"]
-    held = fact.withColumn("priceYear", F.year("materialPriceDate")).select(*quote, *SUPPLY_CHAIN_KEY).distinct()
-    return (
-        held.join(deletes, SUPPLY_CHAIN_KEY, "left")
+    held = (
+        fact.withColumn("priceYear", F.year("materialPriceDate"))
+        .select(*quote, *SUPPLY_CHAIN_KEY)
+        .join(materialize(asked, "asked"), ["partId", "priceYear"], "left_semi")
+        .distinct()
+    )
+    quotes = (
+        held.join(first_delete, SUPPLY_CHAIN_KEY, "left")
         .groupBy(*quote)
         .agg(F.max(F.coalesce("_dead", F.lit(_NEVER))).alias("goneAt"))
     )
+    return materialize(quotes, "quotes")
 
 
 def material_trsc(dim_material: DataFrame, quotes: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Rows of one key which a single task may take before the key is split.
 ROWS_PER_SPLIT = 4_000_000
 
@@ -25,19 +27,24 @@ def join_to_groups(
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
     """Join ``rows`` to ``groups``, which has one row per key and says in ``weight`` how many
-    rows carry that key (an upper bound will do). ``weight`` itself is not in the result.
-
-    A key heavier than ``rows_per_split`` is cut into several: its group row is repeated per
-    piece, and ``rows`` pick a piece by a hash of the ``spread`` columns. The list of heavy
-    keys is broadcast; it has at most ``total rows / rows_per_split`` entries (250,000 for
-    10^12 rows), so its size is bounded however the keys are distributed.
+    rows carry that key (an estimate will do). ``weight`` itself is not in the result.
+
+    The groups are written out first, as they are read more than once; the planner then
+    knows their size and, when they are small, broadcasts them instead of shuffling the
+    rows. A key heavier than ``rows_per_split`` is cut into several: its group row is
+    repeated per piece, and ``rows`` pick a piece by a hash of the ``spread`` columns, which
+    have to tell apart the rows of a key. The list of heavy keys is broadcast; it has at most
+    ``total rows / rows_per_split`` entries (250,000 for 10^12 rows), so its size is
+    bounded however the keys are distributed.
     """
+    stored = materialize(groups, "groups")
+    heavy = stored.filter(F.col(weight) > rows_per_split)
+    if heavy.isEmpty():
+        return rows.join(stored.drop(weight), on, how)
     pieces = (F.col(weight) / F.lit(rows_per_split)).cast("int") + 1
-    sized = groups.withColumn("_pieces", pieces).drop(weight)
-    heavy = sized.filter("_pieces > 1").select(*on, "_pieces")
-    # Only a group with its own hash stays deterministic when a lost task is run again.
+    # A piece depends on the row's values alone, so a task run again picks the same one.
     picked = (
-        rows.join(F.broadcast(heavy), on, "left")
+        rows.join(F.broadcast(heavy.select(*on, pieces.alias("_pieces"))), on, "left")
         .withColumn(
             "_piece",
             F.when(F.col("_pieces").isNull(), F.lit(0)).otherwise(
@@ -46,8 +53,9 @@ def join_to_groups(
         )
         .drop("_pieces")
     )
-    repeated = sized.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-    return picked.join(repeated.drop("_pieces"), [*on, "_piece"], how).drop("_piece")
+    last = F.when(F.col(weight) > rows_per_split, pieces - 1).otherwise(F.lit(0))
+    repeated = stored.withColumn("_piece", F.explode(F.sequence(F.lit(0), last))).drop(weight)
+    return picked.join(repeated, [*on, "_piece"], how).drop("_piece")
 
 
 def join_log_parts(log: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import join_to_groups
 
 # Sequence numbers per numbering block.
@@ -70,7 +71,8 @@ def assign_surrogate_keys(known: DataFrame, seen: DataFrame, trsc: str, key: str
         .agg(F.min("seq").alias("seq"), F.count("*").alias("_rows"))
     )
     highest = known.select(F.coalesce(F.max(key), F.lit(0))).scalar()
-    looked_up = first.join(known.select(trsc, key), trsc, "left")
+    # Numbering reads its input several times.
+    looked_up = materialize(first.join(known.select(trsc, key), trsc, "left"), "keys")
     old = looked_up.filter(F.col(key).isNotNull())
     new = number_rows(looked_up.filter(F.col(key).isNull()).drop(key), "seq", [trsc]).withColumn(
         key, F.col("rank") + highest

@@ -6,42 +6,35 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from .. import schemas
 from ..operators.layers import to_ods
+from ..session import materialize, temporary_work
 from ..sinks import published
 from ..sources.tables import scan_table
 from . import marts, staging
 
 
-def stage_tables(
-    log: DataFrame, parts: DataFrame, materials: DataFrame, spark: SparkSession, run_ts: Column
-) -> dict[str, DataFrame]:
-    """Every operational table as built from the raw inputs, in its layer's columns."""
-    bridge = staging.build_part_bridge(parts, run_ts)
-    machines = staging.build_dim_machine(bridge, run_ts)
-    sales = staging.build_sales(log, bridge, run_ts)
-    built = {
-        "dim_material": staging.build_dim_material(materials, run_ts),
-        "dim_part_information": staging.build_dim_part(parts, run_ts),
-        "dim_machine": machines,
-        "dim_contract": staging.build_dim_contract(sales, run_ts),
-        "dim_time": staging.build_dim_time(spark),
-        "fact_sales": staging.build_fact_sales(sales),
-        "fact_supply_chain": staging.build_fact_supply_chain(
-            log, bridge, staging.build_material_price(materials, run_ts), machines, run_ts
-        ),
-    }
-    return {name: to_ods(df, name) for name, df in built.items()}
-
-
 def load_ods(
     log: DataFrame, parts: DataFrame, materials: DataFrame, spark: SparkSession, run_ts: Column, root: str
 ) -> None:
-    """Build and write the operational tables. The part bridge feeds four of them, so it is
-    kept while they are written; a lost piece of it is computed again."""
-    kept = parts.persist()
-    try:
-        published.load_star_schema(stage_tables(log, kept, materials, spark, run_ts), root)
-    finally:
-        kept.unpersist()
+    """Build the operational tables from the raw inputs and write them.
+
+    What several tables are built from is written first and read back: the part bridge and
+    the priced orders.
+    """
+    with temporary_work(spark):
+        bridge = materialize(staging.build_part_bridge(parts, run_ts), "bridge")
+        sales = materialize(staging.build_sales(log, bridge, run_ts), "sales")
+        quotes = staging.build_material_price(materials, run_ts)
+        machines = staging.build_dim_machine(bridge, run_ts)
+        tables = {
+            "dim_material": staging.build_dim_material(materials, run_ts),
+            "dim_part_information": staging.build_dim_part(parts, run_ts),
+            "dim_machine": machines,
+            "dim_contract": staging.build_dim_contract(sales, run_ts),
+            "dim_time": staging.build_dim_time(spark),
+            "fact_sales": staging.build_fact_sales(sales),
+            "fact_supply_chain": staging.build_fact_supply_chain(log, bridge, quotes, machines, run_ts),
+        }
+        published.load_star_schema({name: to_ods(df, name) for name, df in tables.items()}, root)
 
 
 def build_marts(spark: SparkSession, ods_root: str) -> dict[str, DataFrame]:

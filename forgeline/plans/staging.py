@@ -60,12 +60,16 @@ def build_dim_machine(bridge: DataFrame, run_ts: Column) -> DataFrame:
 def build_sales(log: DataFrame, bridge: DataFrame, run_ts: Column, dedupe_parts: bool = False) -> DataFrame:
     """One row per part of an order, with the cash of the whole order."""
     stats = aggregates.order_part_stats(log)
-    totals = stats.join(aggregates.part_prices(bridge, dedupe_parts), "partId", "left")
+    # Weights of the parts come from the log, where a count combines before its shuffle.
+    prices = aggregates.part_prices(bridge, dedupe_parts).join(
+        log.groupBy("partId").agg(F.count("*").alias("_rows")), "partId"
+    )
+    totals = joins.join_to_groups(stats, prices, ["partId"], "_rows", ["order"])
     cash = totals.groupBy("order").agg(
         F.sum(F.col("unitPrice") * F.col("quantity")).alias("cash"), F.count("*").alias("_rows")
     )
-    # An order none of whose parts is known has a NULL sum and no sale.
-    priced = joins.join_to_groups(stats, cash.filter("cash IS NOT NULL"), ["order"], "_rows", ["partId"])
+    # An order none of whose parts is known has no cash and no sale.
+    priced = joins.join_to_groups(stats, cash, ["order"], "_rows", ["partId"])
     seed = F.col("order") * 31 + F.col("partId") * 17
     return priced.select(
         F.col("order").alias("contractId"),

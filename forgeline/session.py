@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,6 +20,7 @@ SQL_SETTINGS = {
 }
 
 _local_base: str | None = None
+_scopes = threading.local()
 
 
 def build_session(app_name: str = "forgeline", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,4 +55,31 @@ def work_dir(spark: SparkSession, label: str) -> str:
         if _local_base is None:
             _local_base = tempfile.mkdtemp(prefix="forgeline-")
         base = _local_base
-    return f"{base.rstrip('/')}/forgeline/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/forgeline/{label}-{uuid.uuid4().hex}"
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_work(spark: SparkSession) -> Iterator[None]:
+    """Remove the working folders made inside the block at its end. For jobs that write
+    their result elsewhere; a DataFrame that leaves the block must not read from them."""
+    _scopes.open = [*getattr(_scopes, "open", []), []]
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to a working folder and read it back.
+
+    This cuts the lineage in a way that survives the loss of executors, lets what follows
+    use it several times at the price of a scan, and gives the planner its true size.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

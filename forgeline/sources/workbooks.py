@@ -82,16 +82,25 @@ def _sheet_rows(content: bytes, sheet: str | None) -> Iterator[tuple[int, list[s
                 row.clear()
 
 
-def sheet_cells(workbooks: DataFrame, sheet: str | None = None) -> DataFrame:
-    """The rows of one sheet (the first one by default) of every workbook in ``workbooks``
-    (path, content), as (path, row_no, cells). A workbook without the sheet gives no rows."""
+def sheet_rows(
+    workbooks: DataFrame, columns: list[str], sheet: str | None = None, header_row: int = 1
+) -> DataFrame:
+    """The data rows of one sheet (the first one by default) of every workbook in
+    ``workbooks`` (path, content), as (path, row_no, cells) with the cells in the order of
+    ``columns``, found by their names in the header row. A column the header lacks is NULL
+    and a workbook without the sheet gives no rows."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
+                places: list[int] = []
                 rows = []
                 for row_no, cells in _sheet_rows(content, sheet):
-                    rows.append((path, row_no, cells))
+                    if row_no <= header_row:
+                        places = [cells.index(c) if c in cells else -1 for c in columns]
+                        continue
+                    picked = [cells[at] if 0 <= at < len(cells) else None for at in places]
+                    rows.append((path, row_no, picked))
                     if len(rows) == _BATCH:
                         yield pd.DataFrame(rows, columns=["path", "row_no", "cells"])
                         rows = []
@@ -101,19 +110,15 @@ def sheet_cells(workbooks: DataFrame, sheet: str | None = None) -> DataFrame:
     return workbooks.select("path", "content").mapInPandas(unpack, CELLS)
 
 
-def project_sheet(cells: DataFrame, schema: T.StructType, header_row: int = 1) -> DataFrame:
-    """Cells to typed columns, matched by the names in the header row. A cell that does not
-    fit its type is NULL; a sheet without data rows is an empty table of the schema."""
-    names = cells.filter(F.col("row_no") == header_row).select("path", F.col("cells").alias("_names"))
-    rows = cells.filter(F.col("row_no") > header_row).join(names, "path")
-
-    def cell(field: T.StructField):
-        at = F.array_position("_names", field.name).cast("int")
-        return F.when(at > 0, F.try_element_at("cells", F.nullif(at, F.lit(0)))).try_cast(field.dataType)
-
-    return rows.select(*[cell(f).alias(f.name) for f in schema.fields])
+def project_sheet(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cells to typed columns. A cell that does not fit its type is NULL; a sheet without
+    data rows is an empty table of the schema."""
+    return rows.select(
+        *[F.get("cells", F.lit(at)).try_cast(f.dataType).alias(f.name) for at, f in enumerate(schema.fields)]
+    )
 
 
 def scan_workbook(spark: SparkSession, path: str, schema: T.StructType, sheet: str | None = None) -> DataFrame:
     """A sheet of every workbook below a path as one table."""
-    return project_sheet(sheet_cells(scan_files(spark, path, "*.xlsx"), sheet), schema)
+    books = scan_files(spark, path, "*.xlsx")
+    return project_sheet(sheet_rows(books, schema.fieldNames(), sheet), schema)
