@@ -273,11 +273,12 @@ def visible_quotes(fact: DataFrame, rows: DataFrame, part_map: DataFrame) -> Dat
     return materialize(quotes, "quotes")
 
 
-def material_trsc(dim_material: DataFrame, quotes: DataFrame) -> DataFrame:
-    """Transactional id per material; a material without one gets the next free number."""
-    known = dim_material.groupBy("materialId").agg(F.min("trscMaterialId").alias("trscMaterialId"))
+def material_trsc(materials: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Transactional id of each quoted material from ``materials`` (materialId,
+    trscMaterialId); a material without one gets the next free number."""
+    known = materials.groupBy("materialId").agg(F.min("trscMaterialId").alias("trscMaterialId"))
     wanted = quotes.select("materialId").distinct().join(known, "materialId", "left")
-    highest = dim_material.select(F.coalesce(F.max("trscMaterialId"), F.lit(0))).scalar()
+    highest = materials.select(F.coalesce(F.max("trscMaterialId"), F.lit(0))).scalar()
     free = key_ops.number_rows(
         wanted.filter("trscMaterialId IS NULL").drop("trscMaterialId"), "materialId", []
     ).select("materialId", (F.col("rank") + highest).alias("trscMaterialId"))
@@ -316,12 +317,12 @@ def unmatched_messages(rows: DataFrame, quotes: DataFrame, part_map: DataFrame)
 
 
 def supply_chain_changes(
-    rows: DataFrame, quotes: DataFrame, part_map: DataFrame, machine_map: DataFrame, dim_material: DataFrame
+    rows: DataFrame, quotes: DataFrame, part_map: DataFrame, machine_map: DataFrame, materials: DataFrame
 ) -> DataFrame:
     """Change rows of the supply-chain fact: one per insert and quote, one per delete."""
     columns = schemas.table_schema("fact_supply_chain", "ods").fieldNames()
     priced = join_message_quotes(rows, quotes, part_map).join(
-        material_trsc(dim_material, quotes), "materialId", "left"
+        material_trsc(materials, quotes), "materialId", "left"
     )
     inserts = key_ops.lookup_surrogate(priced, machine_map, "trscMachineId", "machineId", "left")
     deletes = rows.filter("isDeleted").select(*SUPPLY_CHAIN_KEY, "seq", "isDeleted")

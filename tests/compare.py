@@ -34,7 +34,10 @@ def compare(spark, con, name: str, sf_dir: str, build, sql: str | None) -> str |
     con.register("got_rows", got)
     if sql is None:
         return None if got.num_rows else "no rows"
+    start = time.time()
     con.execute(f"CREATE OR REPLACE TEMP TABLE want_rows AS {sql}")
+    if time.time() - start > 2:
+        print(f"     sql of {name}: {time.time() - start:.2f}s", flush=True)
     kinds = [
         {r[0]: SAME.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {t}").fetchall()} for t in ("got_rows", "want_rows")
     ]
