@@ -25,22 +25,24 @@ def join_to_groups(
     spread: list[str],
     how: str = "inner",
     rows_per_split: int = ROWS_PER_SPLIT,
+    stored: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to ``groups``, which has one row per key and says in ``weight`` how many
     rows carry that key (an estimate will do). ``weight`` itself is not in the result.
 
-    The groups are written out first, as they are read more than once; the planner then
-    knows their size and, when they are small, broadcasts them instead of shuffling the
+    The groups are written out first (unless ``stored`` says they come from a table), as they
+    are read more than once; the planner then knows their size and, when they are small, broadcasts them instead of shuffling the
     rows. A key heavier than ``rows_per_split`` is cut into several: its group row is
     repeated per piece, and ``rows`` pick a piece by a hash of the ``spread`` columns, which
     have to tell apart the rows of a key. The list of heavy keys is broadcast; it has at most
     ``total rows / rows_per_split`` entries (250,000 for 10^12 rows), so its size is
     bounded however the keys are distributed.
     """
-    stored = materialize(groups, "groups")
-    heavy = stored.filter(F.col(weight) > rows_per_split)
+    if not stored:
+        groups = materialize(groups, "groups")
+    heavy = groups.filter(F.col(weight) > rows_per_split)
     if heavy.isEmpty():
-        return rows.join(stored.drop(weight), on, how)
+        return rows.join(groups.drop(weight), on, how)
     pieces = (F.col(weight) / F.lit(rows_per_split)).cast("int") + 1
     # A piece depends on the row's values alone, so a task run again picks the same one.
     picked = (
@@ -54,7 +56,7 @@ def join_to_groups(
         .drop("_pieces")
     )
     last = F.when(F.col(weight) > rows_per_split, pieces - 1).otherwise(F.lit(0))
-    repeated = stored.withColumn("_piece", F.explode(F.sequence(F.lit(0), last))).drop(weight)
+    repeated = groups.withColumn("_piece", F.explode(F.sequence(F.lit(0), last))).drop(weight)
     return picked.join(repeated, [*on, "_piece"], how).drop("_piece")
 
 

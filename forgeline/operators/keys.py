@@ -62,8 +62,8 @@ def assign_surrogate_keys(known: DataFrame, seen: DataFrame, trsc: str, key: str
     Known ids stay; unknown ones are numbered above the highest known id in the order they
     were first seen, so the result does not depend on how the stream was cut into batches.
     Two unknown ids never share a number, and an id of a deleted row is not used again as
-    long as ``known`` keeps it. Result: ``trsc``, ``key``, ``isNew`` and ``_rows``, the times
-    the id was seen.
+    long as ``known`` keeps it. Result, stored: ``trsc``, ``key``, ``isNew`` and ``_rows``, the
+    times the id was seen.
     """
     first = (
         seen.filter(F.col(trsc).isNotNull())
@@ -77,11 +77,13 @@ def assign_surrogate_keys(known: DataFrame, seen: DataFrame, trsc: str, key: str
     new = number_rows(looked_up.filter(F.col(key).isNull()).drop(key), "seq", [trsc]).withColumn(
         key, F.col("rank") + highest
     )
-    return old.select(trsc, key, F.lit(False).alias("isNew"), "_rows").unionByName(
+    ids = old.select(trsc, key, F.lit(False).alias("isNew"), "_rows").unionByName(
         new.select(trsc, key, F.lit(True).alias("isNew"), "_rows")
     )
+    return materialize(ids, "ids")
 
 
 def lookup_surrogate(rows: DataFrame, key_map: DataFrame, trsc: str, key: str, how: str = "inner") -> DataFrame:
     """Rows with the id of their transactional id, from `assign_surrogate_keys`."""
-    return join_to_groups(rows, key_map.select(trsc, key, "_rows"), [trsc], "_rows", ["seq"], how)
+    ids = key_map.select(trsc, key, "_rows")
+    return join_to_groups(rows, ids, [trsc], "_rows", ["seq"], how, stored=True)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
-import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SQL_SETTINGS = {
@@ -20,7 +22,7 @@ SQL_SETTINGS = {
 }
 
 _local_base: str | None = None
-_scopes = threading.local()
+_made: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("made", default=None)
 
 
 def build_session(app_name: str = "forgeline", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,8 +58,9 @@ def work_dir(spark: SparkSession, label: str) -> str:
             _local_base = tempfile.mkdtemp(prefix="forgeline-")
         base = _local_base
     path = f"{base.rstrip('/')}/forgeline/{label}-{uuid.uuid4().hex}"
-    if getattr(_scopes, "open", None):
-        _scopes.open[-1].append(path)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
@@ -65,11 +68,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
 def temporary_work(spark: SparkSession) -> Iterator[None]:
     """Remove the working folders made inside the block at its end. For jobs that write
     their result elsewhere; a DataFrame that leaves the block must not read from them."""
-    _scopes.open = [*getattr(_scopes, "open", []), []]
+    made: list[str] = []
+    token = _made.set(made)
     try:
         yield
     finally:
-        for path in _scopes.open.pop():
+        _made.reset(token)
+        for path in made:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
@@ -83,3 +88,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, jobs: list[Callable[[], object]]) -> list:
+    """Run independent Spark jobs at the same time, so that small ones share the cluster
+    instead of queueing; returns their results in order, or raises what one raised."""
+
+    def start(pool: ThreadPoolExecutor, job: Callable[[], object]):
+        context = contextvars.copy_context()
+        return pool.submit(inheritable_thread_target(spark)(lambda: context.run(job)))
+
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return [future.result() for future in [start(pool, job) for job in jobs]]

@@ -6,10 +6,13 @@ committed (Spark then leaves a ``_SUCCESS`` file), and readers take the highest
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import run_together
 
 
 def _versions(spark: SparkSession, root: str, committed: bool) -> list[int]:
@@ -41,10 +44,15 @@ def read_published(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_star_schema(tables: dict[str, DataFrame], root: str, replace: bool = False) -> None:
-    """Write the tables below ``root``, dimensions before facts."""
-    for name in schemas.TABLE_NAMES:
-        if name in tables:
-            tables[name].write.mode("overwrite" if replace else "errorifexists").parquet(f"{root}/{name}")
+    """Write the tables below ``root``: the dimensions together, then the facts."""
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite" if replace else "errorifexists").parquet(f"{root}/{name}")
+
+    for kind in ("dim_", "fact_"):
+        names = [n for n in schemas.TABLE_NAMES if n.startswith(kind) and n in tables]
+        if names:
+            run_together(tables[names[0]].sparkSession, [partial(write, n) for n in names])
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
