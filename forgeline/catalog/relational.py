@@ -94,12 +94,7 @@ def join_using_order(i: Inputs) -> DataFrame:
 
 @query(
     "join_daily_counts",
-    """SELECT f.machineId, f.partId, f.timeId, mp.n AS CountProductionMachine, pp.n AS CountProductionPart,
-  g.n AS GarbageProduction
-FROM (SELECT DISTINCT machineId, partId, timeId FROM v_fact) f
-JOIN (SELECT timeId, machineId, count(timeOfProduction) AS n FROM v_fact GROUP BY ALL) mp USING (timeId, machineId)
-JOIN (SELECT timeId, partId, count(timeOfProduction) AS n FROM v_fact GROUP BY ALL) pp USING (timeId, partId)
-JOIN (SELECT timeId, count(timeOfProduction) AS n FROM v_fact WHERE isDamaged = 1 GROUP BY ALL) g USING (timeId)""",
+    "SELECT DISTINCT machineId, partId, timeId, CountProductionMachine, CountProductionPart, GarbageProduction FROM v_mart_supply",
 )
 def join_daily_counts(i: Inputs) -> DataFrame:
     fact = i.ods("fact_supply_chain")
@@ -183,8 +178,7 @@ def count_garbage_day(i: Inputs) -> DataFrame:
 
 @query(
     "count_purchased_day",
-    """SELECT CAST(replace(CAST(date AS VARCHAR), '-', '') AS INTEGER) AS timeId, count(partId) AS PartPurchasedPerDay
-FROM v_sales GROUP BY 1""",
+    "SELECT DISTINCT timeId, PartPurchasedPerDay FROM v_sale_days",
 )
 def count_purchased_day(i: Inputs) -> DataFrame:
     return aggregates.count_purchased_day(i.ods("fact_sales"))
@@ -192,8 +186,7 @@ def count_purchased_day(i: Inputs) -> DataFrame:
 
 @query(
     "sum_material_cost",
-    """SELECT materialPriceDate, round(sum(materialPrice), 2) AS CostMaterialPricePerDay
-FROM (SELECT DISTINCT materialId, materialPriceDate, materialPrice FROM v_fact) GROUP BY 1""",
+    "SELECT * REPLACE (round(CostMaterialPricePerDay, 2) AS CostMaterialPricePerDay) FROM v_quote_cost",
 )
 def sum_material_cost(i: Inputs) -> DataFrame:
     cost = aggregates.sum_material_cost(i.ods("fact_supply_chain"))
@@ -202,7 +195,7 @@ def sum_material_cost(i: Inputs) -> DataFrame:
 
 @query(
     "sum_part_cost",
-    "SELECT timeId, round(sum(partDefaultPrice), 2) AS CostPartPricePerDay FROM v_fact GROUP BY timeId",
+    "SELECT * REPLACE (round(CostPartPricePerDay, 2) AS CostPartPricePerDay) FROM v_part_cost",
 )
 def sum_part_cost(i: Inputs) -> DataFrame:
     cost = aggregates.sum_part_cost(i.ods("fact_supply_chain"))

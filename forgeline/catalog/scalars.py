@@ -452,9 +452,8 @@ def split_deletes(i: Inputs) -> DataFrame:
 
 @query(
     "derived_table",
-    """SELECT y, count(*) AS quoteDays, round(sum(cost), 2) AS cost FROM (
-  SELECT materialPriceDate, CAST(year(materialPriceDate) AS INTEGER) AS y, sum(materialPrice) AS cost
-  FROM (SELECT DISTINCT materialId, materialPriceDate, materialPrice FROM v_fact) GROUP BY ALL) GROUP BY y""",
+    """SELECT CAST(year(materialPriceDate) AS INTEGER) AS y, count(*) AS quoteDays,
+  round(sum(CostMaterialPricePerDay), 2) AS cost FROM v_quote_cost GROUP BY 1""",
 )
 def derived_table(i: Inputs) -> DataFrame:
     """A DISTINCT inside a GROUP BY inside another one."""

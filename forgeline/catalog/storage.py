@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.aggregates import count_by
 from ..plans import marts
 from ..plans.run import build_marts
 from ..sinks import archive, parquet, published
@@ -228,14 +227,24 @@ def scan_files_recursive(i: Inputs) -> DataFrame:
     return listing.select(files.relative_path(i.sf_dir).alias("name"), "length", "modificationTime")
 
 
-@query("archive_new_files")
+@query(
+    "archive_new_files",
+    """SELECT CASE WHEN var5 = 1 THEN 'damaged' ELSE 'good' END AS folder,
+  CASE WHEN var5 = 1 THEN 'kept' ELSE 'archived' END AS status, count(*) AS "rows" FROM v_log GROUP BY ALL""",
+)
 def archive_new_files(i: Inputs) -> DataFrame:
-    """Archive the log files, then the same folder with one more directory of files."""
+    """Archive the log files of damaged units, then the same folder with the other files in it:
+    the log rows the archive holds, by folder and by what the second run did with their file."""
     root, store = i.work_dir("landing"), i.work_dir("archive")
     i.log.filter("var5 = 1").write.option("header", True).csv(f"{root}/damaged")
     archive.archive_new_files(i.spark, root, store)
     i.log.filter("var5 = 0").write.option("header", True).csv(f"{root}/good")
-    return count_by(archive.archive_new_files(i.spark, root, store), ["status"], "name", "files")
+    report = archive.archive_new_files(i.spark, root, store)
+    # A header line, the rows, and what follows the last line break.
+    rows = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 2
+    held = i.spark.read.parquet(f"{store}/files").select("name", rows.alias("n"))
+    folder = F.substring_index("name", "/", 1).alias("folder")
+    return report.join(held, "name").groupBy(folder, "status").agg(F.sum("n").alias("rows"))
 
 
 _ROWS_PER_BOOK = 500

@@ -138,22 +138,20 @@ def mart_fact_supply_chain(i: Inputs) -> DataFrame:
     return marts.fact_supply_chain(i.ods("fact_supply_chain"))
 
 
-_KEEP_UNDAMAGED = """SELECT DISTINCT main.machineId, main.partId, main.materialId, main.timeId, main.materialPrice,
-  main.materialPriceDate, main.partDefaultPrice, mp.n AS CountProductionMachine, pp.n AS CountProductionPart,
-  coalesce(g.n, 0) AS GarbageProduction
-FROM v_fact main
-JOIN (SELECT timeId, machineId, count(timeOfProduction) AS n FROM {units} GROUP BY ALL) mp USING (timeId, machineId)
-JOIN (SELECT timeId, partId, count(timeOfProduction) AS n FROM {units} GROUP BY ALL) pp USING (timeId, partId)
-{how} JOIN (SELECT timeId, count(timeOfProduction) AS n FROM {units} WHERE {damaged} = 1 GROUP BY ALL) g USING (timeId)"""
-
-
-@query("mart_fact_supply_chain_all_days", _KEEP_UNDAMAGED.format(units="v_fact", how="LEFT", damaged="isDamaged"))
+@query("mart_fact_supply_chain_all_days", "SELECT * FROM v_mart_supply_all")
 def mart_fact_supply_chain_all_days(i: Inputs) -> DataFrame:
     """Days without a damaged unit kept, with a count of 0."""
     return marts.fact_supply_chain(i.ods("fact_supply_chain"), keep_undamaged=True)
 
 
-@query("mart_fact_supply_chain_units", _KEEP_UNDAMAGED.format(units="v_log_days", how="", damaged="var5"))
+@query(
+    "mart_fact_supply_chain_units",
+    """SELECT * FROM (SELECT DISTINCT machineId, partId, materialId, timeId, materialPrice, materialPriceDate, partDefaultPrice,
+  (SELECT count(*) FROM v_log_days u WHERE u.timeId = f.timeId AND u.machineId = f.machineId) AS CountProductionMachine,
+  (SELECT count(*) FROM v_log_days u WHERE u.timeId = f.timeId AND u.partId = f.partId) AS CountProductionPart,
+  (SELECT count(*) FROM v_log_days u WHERE u.timeId = f.timeId AND u.var5 = 1) AS GarbageProduction
+FROM v_fact f) WHERE GarbageProduction > 0""",
+)
 def mart_fact_supply_chain_units(i: Inputs) -> DataFrame:
     """Counts of produced units, taken before a unit is repeated per material and quote."""
     units = staging.production_days(i.log).withColumnRenamed("var5", "isDamaged")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from .. import schemas
 from ..operators.layers import to_ods
-from ..session import materialize, temporary_work
+from ..session import materialize, run_together, temporary_work
 from ..sinks import published
 from ..sources.tables import scan_table
 from . import marts, staging
@@ -17,14 +17,19 @@ def load_ods(
 ) -> None:
     """Build the operational tables from the raw inputs and write them.
 
-    What several tables are built from is written first and read back: the part bridge and
-    the priced orders.
+    What several tables are built from is written first and read back: the part bridge, its
+    machines and the priced orders.
     """
     with temporary_work(spark):
         bridge = materialize(staging.build_part_bridge(parts, run_ts), "bridge")
-        sales = materialize(staging.build_sales(log, bridge, run_ts), "sales")
+        sales, machines = run_together(
+            spark,
+            [
+                lambda: materialize(staging.build_sales(log, bridge, run_ts), "sales"),
+                lambda: materialize(staging.build_dim_machine(bridge, run_ts), "machines"),
+            ],
+        )
         quotes = staging.build_material_price(materials, run_ts)
-        machines = staging.build_dim_machine(bridge, run_ts)
         tables = {
             "dim_material": staging.build_dim_material(materials, run_ts),
             "dim_part_information": staging.build_dim_part(parts, run_ts),

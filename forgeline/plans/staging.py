@@ -137,8 +137,7 @@ def build_fact_supply_chain(
 ) -> DataFrame:
     """One row per log row, material of its part and price quote of the year."""
     slim = production_days(log.select("partId", "machineId", "timeOfProduction", "var5"), unit)
-    known = joins.keep_known(slim, machines, "machineId")
-    made = joins.join_log_parts(known, bridge)
+    made = joins.keep_known(joins.join_log_parts(slim, bridge), machines, "machineId")
     return joins.join_quotes_same_year(made, quotes).select(
         "machineId",
         "partId",

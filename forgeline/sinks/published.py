@@ -77,8 +77,9 @@ def snapshot_tables(tables: dict[str, DataFrame], root: str, label: str) -> Data
     """Copy tables to ``root/label`` with a manifest taken from what was written."""
     spark = next(iter(tables.values())).sparkSession
     base = f"{root}/{label}"
-    for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{base}/{name}")
+    run_together(
+        spark, [partial(df.write.mode("errorifexists").parquet, f"{base}/{n}") for n, df in tables.items()]
+    )
     manifest({n: spark.read.parquet(f"{base}/{n}") for n in tables}).write.parquet(f"{base}/_manifest")
     return spark.read.parquet(f"{base}/_manifest")
 
@@ -102,6 +103,8 @@ def restore_snapshot(spark: SparkSession, root: str, label: str, names: list[str
     broken = [row["table"] for row in report.filter(~F.col("intact")).collect()]
     if broken:
         raise ValueError(f"snapshot {label} does not match its manifest: {broken}")
-    for name in names:
-        full_refresh(spark.read.parquet(f"{root}/{label}/{name}"), f"{target}/{name}")
+    run_together(
+        spark,
+        [partial(full_refresh, spark.read.parquet(f"{root}/{label}/{n}"), f"{target}/{n}") for n in names],
+    )
     return report
