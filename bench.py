@@ -7,11 +7,13 @@ import os
 import re
 import sys
 import time
+from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from forgeline import catalog  # noqa: E402
 from forgeline.catalog.registry import Inputs  # noqa: E402
+from forgeline.plans import run  # noqa: E402
 from forgeline.session import apply_settings, build_session  # noqa: E402
 
 # The steps the reference's log times, then the reporting tables and the change rules.
@@ -54,19 +56,26 @@ def main() -> None:
     names = [n for n in HEADLINE if len(sys.argv) < 2 or any(a in n for a in sys.argv[1:])]
     times: dict[str, float] = {}
 
-    start = time.time()
-    Inputs(apply_settings(spark), sf_dir).ods_root  # noqa: B018 (loads the stored tables)
-    times["load_ods_tables"] = round(time.time() - start, 3)
-
-    for name in names:
-        best = None
+    def measure(name: str, job: Callable[[], object]) -> None:
+        took = []
         for _ in range(RUNS):
             start = time.time()
-            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            took = time.time() - start
-            best = took if best is None else min(best, took)
-        times[name] = round(best, 3)
+            job()
+            took.append(time.time() - start)
+        times[name] = round(min(took), 3)
         print(f"{name}: {times[name]}", file=sys.stderr)
+
+    # The inputs stand for files that are there before the engine runs.
+    inputs = Inputs(apply_settings(spark), sf_dir)
+    parts, log, materials = inputs.part_raw, inputs.log, inputs.material_raw
+    inputs.message_files  # noqa: B018 (written on first use)
+    measure(
+        "load_ods_tables",
+        lambda: run.load_ods(log, parts, materials, spark, inputs.run_ts, inputs.work_dir("ods")),
+    )
+    inputs.ods_root  # noqa: B018 (the stored tables the reports read)
+    for name in names:
+        measure(name, lambda name=name: queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(

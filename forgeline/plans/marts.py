@@ -6,6 +6,8 @@ costs less than carrying the wide rows through one more shuffle.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from .. import schemas
 from ..functions.cells import margin
 from ..functions.dates import time_id
 from ..operators import aggregates, joins
+from ..session import materialize, run_together
 
 _FACT_COLUMNS = [
     "machineId",
@@ -25,30 +28,42 @@ _FACT_COLUMNS = [
 ]
 
 
-def count_rows(fact: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """The day count for the mart, and in ``_rows`` how many fact rows share the key."""
-    return fact.groupBy(*keys).agg(F.count("timeOfProduction").alias(name), F.count("*").alias("_rows"))
+def _day_counts(fact: DataFrame) -> list[DataFrame]:
+    """The three daily counts of the mart, stored, each with ``_rows``: how many fact rows
+    share its key."""
+    made, rows = F.count("timeOfProduction"), F.count("*").alias("_rows")
+    damaged = F.col("isDamaged") == 1
+    counts = [
+        fact.groupBy("timeId", "machineId").agg(made.alias("CountProductionMachine"), rows),
+        fact.groupBy("timeId", "partId").agg(made.alias("CountProductionPart"), rows),
+        fact.groupBy("timeId").agg(
+            F.count(F.when(damaged, F.col("timeOfProduction"))).alias("GarbageProduction"),
+            F.count_if(damaged).alias("_damaged"),
+            rows,
+        ),
+    ]
+    return run_together(fact.sparkSession, [partial(materialize, df, "day-counts") for df in counts])
 
 
 def join_daily_counts(fact: DataFrame, keep_undamaged: bool = False, counted: DataFrame | None = None) -> DataFrame:
-    """Fact rows with the production counts of their machine and day, of their part and day,
-    and with the damaged count of the day.
+    """Distinct fact rows with the production counts of their machine and day, of their part
+    and day, and with the damaged count of the day.
 
     Days without a damaged unit drop out unless ``keep_undamaged``. ``counted`` is the table
     the counts run over, when that is not the fact itself.
     """
-    source = fact if counted is None else counted
+    by_machine, by_part, by_day = _day_counts(fact if counted is None else counted)
+    if not keep_undamaged:
+        by_day = by_day.filter("_damaged > 0")
     wide = [c for c in fact.columns if c not in ("timeId", "machineId", "partId")]
-    by_machine = count_rows(source, ["timeId", "machineId"], "CountProductionMachine")
-    by_part = count_rows(source, ["timeId", "partId"], "CountProductionPart")
-    garbage = aggregates.count_garbage_day(source)
-    with_machine = joins.join_to_groups(fact, by_machine, ["timeId", "machineId"], "_rows", ["partId", *wide])
-    with_part = joins.join_to_groups(with_machine, by_part, ["timeId", "partId"], "_rows", ["machineId", *wide])
-    # One row per calendar day at most, whatever the fact's size: safe to broadcast.
-    if keep_undamaged:
-        joined = with_part.join(F.broadcast(garbage), "timeId", "left")
-        return joined.withColumn("GarbageProduction", F.coalesce("GarbageProduction", F.lit(0)))
-    return with_part.join(F.broadcast(garbage), "timeId", "inner")
+    joined = fact
+    for groups, key, spread in (
+        (by_machine, ["timeId", "machineId"], ["partId"]),
+        (by_part, ["timeId", "partId"], ["machineId"]),
+        (by_day.drop("_damaged"), ["timeId"], ["machineId", "partId"]),
+    ):
+        joined = joins.join_to_groups(joined, groups, key, "_rows", [*spread, *wide], stored=True)
+    return joined
 
 
 def fact_supply_chain(

@@ -33,7 +33,7 @@ def brute(events, mode):
     return sorted((r[0], r[1]) for r in table)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 3), st.booleans(), st.integers(0, 5)), min_size=1, max_size=25))
 @pytest.mark.parametrize("mode", ["append", "upsert"])
 def test_apply_changes_is_one_change_at_a_time(spark, mode, log):
