@@ -1,6 +1,6 @@
-"""The reference inputs derived from the given tables.
+"""The engine's inputs derived from the given tables.
 
-`SF_TABLES` are plain Parquet files; each function below turns them into one of the
+The tables are plain Parquet files; each function below turns them into one of the
 inputs the engine is made for. All of it is linear in the tables.
 """
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cells, dates
 from ..operators import aggregates, joins
+from ..session import materialize
 
 # The calendar's first and last day.
 CALENDAR_START = "1920-01-01"
@@ -59,10 +60,10 @@ def build_dim_machine(bridge: DataFrame, run_ts: Column) -> DataFrame:
 
 def build_sales(log: DataFrame, bridge: DataFrame, run_ts: Column, dedupe_parts: bool = False) -> DataFrame:
     """One row per part of an order, with the cash of the whole order."""
-    stats = aggregates.order_part_stats(log)
-    # Weights of the parts come from the log, where a count combines before its shuffle.
+    # Read three times below; a scan of it costs less than aggregating the log again.
+    stats = materialize(aggregates.order_part_stats(log), "order-parts")
     prices = aggregates.part_prices(bridge, dedupe_parts).join(
-        log.groupBy("partId").agg(F.count("*").alias("_rows")), "partId"
+        stats.groupBy("partId").agg(F.count("*").alias("_rows")), "partId"
     )
     totals = joins.join_to_groups(stats, prices, ["partId"], "_rows", ["order"])
     cash = totals.groupBy("order").agg(
