@@ -86,10 +86,12 @@ def _sample(docs: DataFrame, lang: str, doc_id: str, text: str, how: Kernel) ->
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(doc_id), F.lit("landmarks")).alias("h")
     )
-    counts = rows.groupBy(F.col("lang").alias("l")).agg(F.count("*").alias("n"))
-    share = F.least(F.lit(1.0), F.lit(float(how.per_language)) / F.col("n"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row per language
+    share = F.lit(0.0)
+    for r in counts:
+        share = F.when(F.col("lang") == r["lang"], min(1.0, how.per_language / r["n"])).otherwise(share)
     unit = F.pmod("h", F.lit(1 << 20)) / float(1 << 20)
-    return rows.join(counts, F.col("lang") == F.col("l")).where(unit < share).select("lang", "text", "h")
+    return rows.where(unit < share)
 
 
 def learn(docs: DataFrame, how: Kernel = Kernel(), text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model | None:
