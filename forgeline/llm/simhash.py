@@ -26,6 +26,7 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -300,9 +301,10 @@ def _probe(classes: DataFrame, how: SimHash, chosen: Plan) -> DataFrame:
                     members = prints[np.repeat(np.arange(rows), masks.shape[1])]
                     if how.flips:
                         order = np.argsort(probed, kind="stable")
-                        kept, a, b = _reduced(probed[order], members[order], how.distance)
-                        yield _bucket_rows(probed[order][kept], members[order][kept], None)
-                        yield _bucket_rows(None, members[order][a], members[order][b])
+                        probed, members = probed[order], members[order]
+                        kept, a, b = _reduced(probed, members, how.distance)
+                        yield _bucket_rows(probed[kept], members[kept], None)
+                        yield _bucket_rows(probed[a], members[a], members[b])
                     else:
                         yield _bucket_rows(probed, members, None)
 
@@ -352,7 +354,8 @@ def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.nd
 
 
 def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
-    """Links (a0.., b0..) between members of a bucket, in one pass over the sorted buckets.
+    """Links (a0.., b0..) between members of a bucket, in one pass over the sorted buckets; links
+    that are there already are passed on.
 
     Small buckets are compared pairwise, larger ones through leaders. A bucket that goes over
     many batches is held as its leaders, so memory does not follow its size.
@@ -371,6 +374,9 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, prints = np.zeros(0, np.int64), np.zeros((0, longs), np.int64)
         for batch in batches:
+            member = batch.column("b0").is_null()
+            yield batch.filter(pc.invert(member))
+            batch = batch.filter(member)
             keys = np.r_[keys, batch.column("key").to_numpy()]
             prints = np.concatenate([prints, np.stack([batch.column(c).to_numpy() for c in names], 1)])
             if len(keys) < HELD:
@@ -385,7 +391,7 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         yield _bucket_rows(None, prints[a], prints[b])
         yield from linked(keys[stay], prints[stay])
 
-    sorted_buckets = buckets.select("key", *names).repartition("key").sortWithinPartitions("key")
+    sorted_buckets = buckets.repartition("key").sortWithinPartitions("key")
     return sorted_buckets.mapInArrow(meet, _kinds(longs)).drop("key")
 
 
@@ -435,12 +441,11 @@ def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
 
 def links(classes: DataFrame, how: SimHash) -> DataFrame:
     """(a, b): names of fingerprints that are linked; classes have w and margin."""
-    found = materialize(_probe(classes, how, plan(classes, how)), "near-buckets")
-    buckets = found.where("b0 is null")
+    buckets = _probe(classes, how, plan(classes, how))
     if how.flips:
-        met = materialize(_met_in_buckets(buckets, how), "near-met")
-        near = _named(met.unionByName(found.where("b0 is not null").drop("key")), how)
+        near = _named(_met_in_buckets(buckets, how), how)
         return _similar(materialize(near, "near-named"), classes, how)
+    buckets = materialize(buckets, "near-buckets")
     if how.distance != 2 or how.longs != 1:
         return _named(_pairs(buckets, how), how)
     large = buckets.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > PAIRWISE)
