@@ -218,7 +218,7 @@ def parse_int_list(i: Inputs) -> DataFrame:
 
 @query("explode_list", "SELECT partId AS id, materialId FROM v_part_materials")
 def explode_list(i: Inputs) -> DataFrame:
-    return i.part_raw.select("id", F.explode(cells.parse_int_list("meterials")).alias("materialId"))
+    return i.part_raw.select("id", F.explode(cells.parse_int_list("meterials")).alias("materialId")).distinct()
 
 
 @query("explode_cross", "SELECT partId AS id, materialId, machineId FROM v_bridge")
@@ -489,7 +489,7 @@ def conform_rejects(i: Inputs) -> DataFrame:
 # -- reporting dimensions ------------------------------------------------------------------------
 
 
-@query("project_dims", "SELECT partId, timeToProduce FROM (SELECT id AS partId, timeToProduce FROM v_part_raw)")
+@query("project_dims", "SELECT partId, timeToProduce FROM (SELECT DISTINCT id AS partId, timeToProduce FROM v_part_raw)")
 def project_dims(i: Inputs) -> DataFrame:
     return project_dim(i.ods("dim_part_information"), "dim_part_information")
 

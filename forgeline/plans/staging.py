@@ -95,7 +95,8 @@ def build_dim_material(materials: DataFrame, run_ts: Column) -> DataFrame:
 
 
 def build_dim_part(parts: DataFrame, run_ts: Column) -> DataFrame:
-    return parts.select(F.col("id").alias("partId"), "timeToProduce", run_ts.alias("lastUpdate"))
+    """A part may take several rows of the reference, one per bucket of machines."""
+    return parts.select(F.col("id").alias("partId"), "timeToProduce").distinct().withColumn("lastUpdate", run_ts)
 
 
 def date_spine(spark: SparkSession, start: str, steps: int, step: str = "day") -> DataFrame:
