@@ -141,6 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        pa.default_memory_pool().release_unused()  # what this process held for keys before the sort
         encode, cutter = encoder(tokenizer), _Cutter(TaskContext.get().partitionId())
         schema = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.int64()) for c in PIECES.split(", ")])
 

@@ -8,13 +8,14 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-#: White space that one of the tokenizers or Python sees differently from the other.
-ODD = re.compile(r"[^\S \t\n\r\x0b\x0c]")
+#: White space other than ASCII's, which a tokenizer and Python may see differently.
+ODD = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \t\n\r\x0b\x0c"]
+ODD_ASCII = [c for c in ODD if c.isascii()]
 #: A word with the space before it, or what else there is between words. A piece never crosses a
 #: border between two of these: a run of spaces gives its last one to the word behind it.
 CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Chunks remembered per process, about 200 bytes each; a full memory starts again.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 
 
 class Encoder:
@@ -35,7 +36,7 @@ class Encoder:
         return np.array(ids, self.kind).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
-        if ODD.search(text):
+        if any(c in text for c in (ODD_ASCII if text.isascii() else ODD)):
             return np.array(self._ids(text), self.kind)
         chunks = CHUNK.findall(text) if self.spaced else text.split()
         known = self.known
