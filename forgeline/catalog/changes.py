@@ -94,13 +94,32 @@ subquery(
     "v_supply_deletes",
     "SELECT machine, part1, made, min(seq) AS dead FROM v_msg WHERE topic = 'supply_chain' AND del GROUP BY ALL",
 )
+_QUOTE = "partId, y, materialId, materialPrice, materialPriceDate, partDefaultPrice"
 subquery(
-    "v_visible",
+    "v_quotes_loaded",
     """SELECT f.partId, year(f.materialPriceDate) AS y, f.materialId, f.materialPrice, f.materialPriceDate,
-  f.partDefaultPrice, max(coalesce(d.dead, 9223372036854775807)) AS goneAt
+  f.partDefaultPrice, CAST(-1 AS BIGINT) AS starts, max(coalesce(d.dead, 9223372036854775807)) AS ends
 FROM v_fact f LEFT JOIN v_supply_deletes d
   ON d.machine = f.machineId AND d.part1 = f.partId AND d.made = f.timeOfProduction GROUP BY ALL""",
 )
+subquery(
+    "v_supply_spans",
+    """SELECT seq, part1, made, del, coalesce(min(CASE WHEN del THEN seq END) OVER (PARTITION BY machine, part1, made
+  ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 9223372036854775807) AS ends
+FROM v_msg WHERE topic = 'supply_chain'""",
+)
+subquery(
+    "v_quotes_held",
+    """SELECT * FROM v_quotes_loaded
+UNION ALL SELECT q.* EXCLUDE (starts, ends), s.seq, s.ends FROM v_quotes_loaded q
+JOIN v_supply_spans s ON s.part1 = q.partId AND year(s.made) = q.y AND NOT s.del""",
+)
+subquery(
+    "v_visible",
+    f"""SELECT {_QUOTE}, coalesce(min(CASE WHEN covered <= starts THEN covered END), max(ends)) AS goneAt
+FROM (SELECT *, max(ends) OVER (PARTITION BY {_QUOTE} ORDER BY starts
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS covered FROM v_quotes_held) GROUP BY {_QUOTE}""",
+)
 subquery(
     "v_supply_priced",
     """SELECT m.seq, m.machine, m.part1, m.made, m.ts, q.* FROM v_msg m JOIN v_visible q
@@ -180,6 +199,22 @@ def reject_messages(i: Inputs) -> DataFrame:
     return all_rejects(i).drop("value")
 
 
+@query(
+    "reject_sales_messages",
+    """SELECT seq AS "offset", CASE WHEN seq % 3 = 0 THEN 'bad date' ELSE 'missing field' END AS reason
+FROM v_msg WHERE topic = 'sales' AND NOT del AND seq % 3 < 2""",
+)
+def reject_sales_messages(i: Inputs) -> DataFrame:
+    """Sales messages, a third of them with a garbled date and a third without cash: the
+    inserts among these are rejected, a delete needs neither field."""
+    third = F.col("offset") % 3
+    value = F.when(third == 0, F.regexp_replace("value", '"date":"[^"]*"', '"date":"oops"')).when(
+        third == 1, F.regexp_replace("value", r'"cash":\[[^\]]*\],', "")
+    )
+    garbled = i.messages.withColumn("value", F.coalesce(value, "value"))
+    return ch.rejects(ch.parse_topic(garbled, "sales")).select("offset", "reason")
+
+
 @query("unmatched_messages", _UNMATCHED)
 def unmatched_messages(i: Inputs) -> DataFrame:
     return ch.unmatched_messages(i.supply_rows, i.visible_quotes, i.part_ids).drop("value")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -58,6 +58,8 @@ _REQUIRED = {
     "sales": ["contract_number", "parts"],
     "supply_chain": ["machineId", "partId", "timeOfProduction"],
 }
+# What an insert needs besides; a delete is applied without it.
+_REQUIRED_OF_INSERTS = {"sales": ["cash"]}
 
 
 def with_seq(messages: DataFrame) -> DataFrame:
@@ -80,12 +82,17 @@ def parse_topic(messages: DataFrame, topic: str) -> DataFrame:
     missing = F.lit(False)
     for name in _REQUIRED[topic]:
         missing = missing | F.col(name).isNull()
+    for name in _REQUIRED_OF_INSERTS.get(topic, []):
+        missing = missing | (~F.col("isDeleted") & F.col(name).isNull())
     reason = F.when(F.col("value").isNull() | F.col("_unreadable").isNotNull(), "unreadable value").when(
         missing, "missing field"
     )
     if topic == "part_information":
         bad = ~F.col("isDeleted") & cells.parse_number("timeToProduce").isNull()
         reason = reason.when(bad, "bad number")
+    if topic == "sales":
+        bad = ~F.col("isDeleted") & F.col("date").try_cast("date").isNull()
+        reason = reason.when(bad, "bad date")
     if topic == "supply_chain":
         reason = reason.when(dates.iso_date("timeOfProduction").isNull(), "bad date")
     return fields.withColumn("reason", reason).drop("_unreadable")
@@ -246,10 +253,28 @@ def supply_chain_rows(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _held_spans(rows: DataFrame, part_map: DataFrame) -> DataFrame:
+    """When the inserts among ``rows`` are in the fact: (partId, priceYear, start, end), ``end``
+    being the next delete of the key. Of the inserts of a key between two deletes the first one
+    speaks for all, and of those that stay the first one of its part and year."""
+    later = Window.partitionBy(*SUPPLY_CHAIN_KEY).orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = F.coalesce(F.min(F.when(F.col("isDeleted"), F.col("seq"))).over(later), F.lit(_NEVER))
+    key = F.when(F.col("end") < _NEVER, F.struct("trscMachineId", "timeOfProduction"))
+    return (
+        rows.select(*SUPPLY_CHAIN_KEY, "isDeleted", "seq", ends.alias("end"))
+        .filter(~F.col("isDeleted"))
+        .join(part_map.select("trscPartId", "partId"), "trscPartId")
+        .groupBy("partId", F.year("timeOfProduction").alias("priceYear"), "end", key.alias("key"))
+        .agg(F.min("seq").alias("start"))
+        .drop("key")
+    )
+
+
 def visible_quotes(fact: DataFrame, rows: DataFrame, part_map: DataFrame) -> DataFrame:
     """The distinct quotes in the fact for each part and year the inserts among ``rows`` ask
-    for, and in ``goneAt`` the seq of the delete among ``rows`` which removed the last fact
-    row holding the quote."""
+    for, and in ``goneAt`` the seq of the delete among ``rows`` after which no fact row holds the
+    quote. An insert among ``rows`` takes over the quotes it sees and so keeps them: the
+    result is the same however the messages are cut into batches."""
     inserts, deletes = split_deletes(rows)
     asked = (
         inserts.select("trscPartId", F.year("timeOfProduction").alias("priceYear"))
@@ -265,12 +290,26 @@ def visible_quotes(fact: DataFrame, rows: DataFrame, part_map: DataFrame) -> Dat
         .join(materialize(asked, "asked"), ["partId", "priceYear"], "left_semi")
         .distinct()
     )
-    quotes = (
+    loaded = materialize(
         held.join(first_delete, SUPPLY_CHAIN_KEY, "left")
         .groupBy(*quote)
-        .agg(F.max(F.coalesce("_dead", F.lit(_NEVER))).alias("goneAt"))
+        .agg(F.max(F.coalesce("_dead", F.lit(_NEVER))).alias("end")),
+        "held",
+    )
+    # A quote no delete can reach needs no look at the inserts.
+    safe = loaded.filter(F.col("end") == _NEVER).withColumnRenamed("end", "goneAt")
+    mortal = loaded.filter(F.col("end") < _NEVER)
+    taken = mortal.drop("end").join(_held_spans(rows, part_map), ["partId", "priceYear"])
+    spans = mortal.withColumn("start", F.lit(BEFORE_ALL).cast("bigint")).unionByName(taken)
+    before = Window.partitionBy(*quote).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    gone = (
+        spans.withColumn("covered", F.max("end").over(before))
+        .groupBy(*quote)
+        .agg(
+            F.coalesce(F.min(F.when(F.col("covered") <= F.col("start"), F.col("covered"))), F.max("end")).alias("goneAt")
+        )
     )
-    return materialize(quotes, "quotes")
+    return materialize(safe.unionByName(gone), "quotes")
 
 
 def material_trsc(materials: DataFrame, quotes: DataFrame) -> DataFrame:

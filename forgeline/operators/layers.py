@@ -20,6 +20,8 @@ def conform_to_layer(
     for key in schemas.KEYS[table]:
         if key in df.columns:
             kind = schemas.table_schema(table, "dwh")[key].dataType
+            if df.schema[key].dataType == kind:
+                continue
             bad_key = bad_key | (F.col(key).isNotNull() & F.col(key).try_cast(kind).isNull())
 
     def value(name: str) -> Column:
@@ -33,7 +35,8 @@ def conform_to_layer(
     return df.filter(~bad_key).select(*columns), df.filter(bad_key)
 
 
-def to_ods(df: DataFrame, table: str) -> DataFrame:
-    """A batch-built table in the operational layer, each id serving as its own
-    transactional id until a message says otherwise."""
-    return conform_to_layer(df, table, "ods", fill_transactional=True)[0]
+def to_ods(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)``: a batch-built table in the operational layer, each id serving as its
+    own transactional id until a message says otherwise; rejects as (table, row), the row as JSON."""
+    rows, lost = conform_to_layer(df, table, "ods", fill_transactional=True)
+    return rows, lost.select(F.lit(table).alias("table"), F.to_json(F.struct("*")).alias("row"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from .. import schemas
@@ -18,7 +20,8 @@ def load_ods(
     """Build the operational tables from the raw inputs and write them.
 
     What several tables are built from is written first and read back: the part bridge, its
-    machines and the priced orders.
+    machines and the priced orders. Rows whose key does not fit its type go to ``rejects``; a table
+    that has its keys in their types already is not looked through for them.
     """
     with temporary_work(spark):
         bridge = materialize(staging.build_part_bridge(parts, run_ts), "bridge")
@@ -39,7 +42,10 @@ def load_ods(
             "fact_sales": staging.build_fact_sales(sales),
             "fact_supply_chain": staging.build_fact_supply_chain(log, bridge, quotes, machines, run_ts),
         }
-        published.load_star_schema({name: to_ods(df, name) for name, df in tables.items()}, root)
+        conformed = {name: to_ods(df, name) for name, df in tables.items()}
+        published.load_star_schema({name: rows for name, (rows, _) in conformed.items()}, root)
+        lost = reduce(DataFrame.unionByName, [rejects for _, rejects in conformed.values()])
+        lost.write.mode("overwrite").parquet(f"{root}/rejects")
 
 
 def build_marts(spark: SparkSession, ods_root: str) -> dict[str, DataFrame]:

@@ -110,11 +110,51 @@ def test_supply_chain_deletes_between_inserts(spark):
     parts = spark.createDataFrame([(5, 5)], "trscPartId bigint, partId bigint")
     quotes = ch.visible_quotes(fact, rows, parts)
     got = ch.join_message_quotes(rows, quotes, parts).select("seq", "materialId").collect()
-    assert sorted(map(tuple, got)) == [(0, 8), (0, 9), (2, 9)]
+    # The first message's row took both quotes over, so the delete ends neither.
+    assert sorted(map(tuple, got)) == [(0, 8), (0, 9), (2, 8), (2, 9)]
     lost = ch.unmatched_messages(rows, quotes, parts).collect()
     assert sorted(r.offset for r in lost) == [3, 4]
 
 
+def test_an_insert_keeps_the_quote_it_saw(spark):
+    """Insert, delete of the loaded row, insert, then a delete of the first: in one batch as in
+    batches of one."""
+    columns = "trscMachineId bigint, trscPartId bigint, partId bigint, materialId bigint, d string"
+    fact = spark.createDataFrame([(1, 5, 5, 8, "2000-03-01")], columns).select(
+        "*", F.lit(2.0).alias("materialPrice"), F.col("d").cast("date").alias("timeOfProduction"),
+        F.lit("2000-01-01").cast("date").alias("materialPriceDate"), F.lit(7.0).alias("partDefaultPrice"),
+    )
+
+    def event(machine, day, deleted=False):
+        return ("supply_chain", {"machineId": machine, "partId": 5, "timeOfProduction": f"{day}T08:00:00",
+                                 "var5": 1, "isDeleted": deleted, "lastUpdate": "2024-01-01T00:00:00"})
+
+    log = ch.with_seq(messages(spark, [
+        event(2, "2000-07-01"),
+        event(1, "2000-03-01", deleted=True),
+        event(3, "2000-08-01"),
+        event(2, "2000-07-01", deleted=True),
+        event(4, "2000-08-02"),
+        event(3, "2000-08-01", deleted=True),
+        event(4, "2000-08-02", deleted=True),
+        event(5, "2000-08-03"),
+    ]))
+    rows = ch.supply_chain_rows(ch.accepted(ch.parse_topic(log, "supply_chain")))
+    parts = spark.createDataFrame([(5, 5)], "trscPartId bigint, partId bigint")
+    quotes = ch.visible_quotes(fact, rows, parts)
+    got = ch.join_message_quotes(rows, quotes, parts).select("seq", "materialId").collect()
+    assert sorted(map(tuple, got)) == [(0, 8), (2, 8), (4, 8)]
+    assert [r.offset for r in ch.unmatched_messages(rows, quotes, parts).collect()] == [7]
+
+
+def test_sales_messages_that_cannot_be_stored(spark):
+    good = {"contract_number": 1, "parts": [1], "cash": [2.0], "client_name": "c", "date": "2024-01-02"}
+    rows = [good, {**good, "date": "oops"}, {k: v for k, v in good.items() if k != "cash"},
+            {"contract_number": 1, "parts": [1], "isDeleted": True}]
+    parsed = ch.parse_topic(ch.with_seq(messages(spark, [("sales", r) for r in rows])), "sales")
+    assert {r.offset: r.reason for r in parsed.collect()} == {0: None, 1: "bad date", 2: "missing field", 3: None}
+
+
 def test_pick_fields_leaves_out_what_is_missing(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert ch.pick_fields(df, ["c", "b", "a"]).columns == ["b", "a"]
