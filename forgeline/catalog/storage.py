@@ -36,6 +36,16 @@ def scan_csv_dir(i: Inputs) -> DataFrame:
     return files.scan_csv_dir(i.spark, write_log_csv(i), schemas.MACHINE_LOG)
 
 
+@query("scan_csv_by_header", _LOG)
+def scan_csv_by_header(i: Inputs) -> DataFrame:
+    """Log files in two column orders; each is read by its own header."""
+    path = i.work_dir("machines-two-orders")
+    swapped = i.log.select(*reversed(i.log.columns))
+    i.log.filter("var5 = 1").write.option("header", True).csv(path)
+    swapped.filter("var5 = 0").write.mode("append").option("header", True).csv(path)
+    return files.scan_csv_dir(i.spark, path, schemas.MACHINE_LOG)
+
+
 @query("scan_csv_dir_origin", "SELECT 'csv' AS suffix, count(*) AS n FROM v_log")
 def scan_csv_dir_origin(i: Inputs) -> DataFrame:
     """Every row knows its file; only ``.csv`` files are read."""
@@ -116,8 +126,9 @@ def write_parquet_partitioned(i: Inputs) -> DataFrame:
 
 @query("compact_parquet", _LOG)
 def compact_parquet(i: Inputs) -> DataFrame:
+    """Files in a directory per damage flag; the flag stays a column."""
     source, target = i.work_dir("pieces"), i.work_dir("compact")
-    parquet.write_parquet(i.log, source)
+    parquet.csv_to_parquet(i.spark, write_log_csv(i), source, by=["var5"], schema=schemas.MACHINE_LOG)
     parquet.compact_parquet(files.scan_parquet_union(i.spark, source, target), target)
     return files.scan_parquet(i.spark, target)
 
@@ -220,11 +231,23 @@ def restore_snapshot(i: Inputs) -> DataFrame:
 # -- files and workbooks ----------------------------------------------------------------------------
 
 
-@query("scan_files_recursive")
+@query(
+    "scan_files_recursive",
+    """SELECT 'year=' || year(o_orderdate) AS folder, count(*) AS "rows", CAST(sum(length(o_orderpriority) + 1) AS BIGINT) AS bytes
+FROM orders GROUP BY ALL""",
+)
 def scan_files_recursive(i: Inputs) -> DataFrame:
-    """The directory of tables as a listing; no file is read."""
-    listing = files.scan_files(i.spark, i.sf_dir)
-    return listing.select(files.relative_path(i.sf_dir).alias("name"), "length", "modificationTime")
+    """Order priorities as text files in a directory per year, scanned as a tree: the lines and
+    the bytes of each directory."""
+    root = i.work_dir("priorities")
+    lines = i.table("orders").select(F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("value"))
+    lines.hint("rebalance", "year").write.partitionBy("year").text(root)
+    tree = files.scan_files(i.spark, root).select(
+        F.substring_index(files.relative_path(root), "/", 1).alias("folder"),
+        "length",
+        (F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1).alias("n"),
+    )
+    return tree.groupBy("folder").agg(F.sum("n").alias("rows"), F.sum("length").alias("bytes"))
 
 
 @query(

@@ -28,6 +28,32 @@ def test_bad_lines_are_set_aside(spark, tmp_path):
     assert good.count() == 1 and bad.count() == 2
 
 
+def test_csv_columns_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order,partId,machineId,timeOfProduction,var5\n1,2,3,4,0\n")
+    (tmp_path / "b+ c.csv").write_text("order,machineId,partId,timeOfProduction,var5\n5,7,6,8,1\n")
+    (tmp_path / "d.csv").write_text("order,partId,extra\n9,10,x\n")
+    rows = files.scan_csv_dir(spark, str(tmp_path), schemas.MACHINE_LOG, with_origin=True).orderBy("order").collect()
+    assert [(r.order, r.partId, r.machineId, r.file_name) for r in rows] == [
+        (1, 2, 3, "a.csv"), (5, 6, 7, "b+ c.csv"), (9, 10, None, "d.csv"),
+    ]
+    inferred = files.scan_csv_dir(spark, str(tmp_path)).orderBy("order").collect()
+    assert [(r.order, r.partId, r.machineId, r.extra) for r in inferred] == [(1, 2, 3, None), (5, 6, 7, None), (9, 10, None, "x")]
+    (tmp_path / "noise.csv").write_bytes(bytes(range(1, 200)))
+    good, bad = files.scan_csv_quarantine(spark, str(tmp_path), schemas.MACHINE_LOG)
+    assert sorted((r.order, r.partId, r.machineId) for r in good.collect()) == [(1, 2, 3), (5, 6, 7)]
+    assert {r.file_name for r in bad.collect()} == {"d.csv", "noise.csv"}
+
+
+def test_union_keeps_partition_columns(spark, tmp_path):
+    spark.range(6).select("id", (F.col("id") % 2).alias("p")).write.partitionBy("p").parquet(str(tmp_path / "u" / "cut"))
+    spark.range(6, 9).write.parquet(str(tmp_path / "u" / "plain"))
+    spark.range(9, 11).withColumn("x", F.lit(1)).write.mode("append").parquet(str(tmp_path / "u"))
+    rows = files.scan_parquet_union(spark, str(tmp_path / "u")).select("id", "p", "x").orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [
+        (n, n % 2 if n < 6 else None, 1 if n > 8 else None) for n in range(11)
+    ]
+
+
 def test_union_refuses_an_output_inside_the_input(spark):
     with pytest.raises(ValueError, match="inside"):
         files.scan_parquet_union(spark, "/data/machines", "/data/machines/all")
