@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from forgeline.llm import language, mixing, packing, quality, simhash
-from forgeline.llm.common import table
+from forgeline.llm.common import small_batches, table
 from forgeline.session import materialize
 
+#: Words whose ids a packing process remembers: few, as executors come out of four stages with their heaps full.
+REMEMBERED_WORDS = 100_000
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the base rules and the learned rules keep."""
@@ -16,22 +19,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that some language claims."""
+    small_batches(spark)
     return language.understood_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
+    small_batches(spark)
     return simhash.distinct_documents(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as the mix takes them: left out, in part, once or twice."""
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all sequences."""
-    return packing.pack(docs, packing.tokenizer_path())
+    small_batches(spark)
+    return packing.pack(docs, packing.tokenizer_path(), remembered=REMEMBERED_WORDS)
 
 
 STAGES = [

@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB in this session: a batch is held on both sides of the pipe to
+    Python, several times over while it grows, and Spark's own bound is 64 MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null and blank texts."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

@@ -10,6 +10,8 @@ other and nothing is ever padded.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import zlib
 from collections.abc import Iterator
 
@@ -19,13 +21,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import packed
-from .tokens import encoder
+from .tokens import REMEMBERED, encoder
 
 LENGTH = 1024
 END_ID = 0
 DIMENSIONS = 3
 #: Bits per dimension on the curve.
 BITS = 10
+#: Pieces sent back at a time.
+ROWS = 1024
 #: Places of the hashed vector.
 PLACES = 256
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
@@ -131,8 +135,21 @@ class _Cutter:
         yield from self._closed([1 << b for b in range(LENGTH.bit_length() - 1, -1, -1) if self.filled >> b & 1])
 
 
-def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def _return_memory() -> None:
+    """Gives back what this process, which Spark uses again and again, held for earlier tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # only glibc has it
+        pass
+
+
+def pack(
+    docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", remembered: int = REMEMBERED
+) -> DataFrame:
     """One row per piece of a document, with its ids as little-endian unsigned 32-bit integers.
+    A process remembers the ids of ``remembered`` words, which trades memory for speed.
 
     Null and empty texts are the end id alone. Rows that repeat an id, or have none, are packed as
     documents of their own. An empty table gives no rows; other columns play no part.
@@ -141,8 +158,8 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        pa.default_memory_pool().release_unused()  # what this process held for keys before the sort
-        encode, cutter = encoder(tokenizer), _Cutter(TaskContext.get().partitionId())
+        _return_memory()
+        encode, cutter = encoder(tokenizer, remembered), _Cutter(TaskContext.get().partitionId())
         schema = pa.schema([(c.split()[0], pa.binary() if c.endswith("binary") else pa.int64()) for c in PIECES.split(", ")])
 
         def rows(found: list[tuple]) -> pa.RecordBatch:
@@ -153,7 +170,7 @@ def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc
             for doc, body in zip(batch.column("id"), batch.column("text")):
                 ids = encode(body.as_py() or "")
                 held += cutter.add(doc.as_py(), np.append(ids, ids.dtype.type(END_ID)))
-                if len(held) >= 4096:
+                if len(held) >= ROWS:
                     yield rows(held)
                     held = []
         held += cutter.finish()

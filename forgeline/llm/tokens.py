@@ -21,7 +21,8 @@ REMEMBERED = 400_000
 class Encoder:
     """Encodes texts chunk by chunk and remembers the ids of each chunk as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
@@ -42,7 +43,7 @@ class Encoder:
         known = self.known
         new = list(set(chunks).difference(known))
         if new:
-            if len(known) + len(new) > REMEMBERED:
+            if len(known) + len(new) > self.remembered:
                 known.clear()
                 new = list(set(chunks))
             for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
@@ -51,9 +52,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
     """One encoder per process and file, kept between tasks."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a process per core
-    return Encoder(path)
+    return Encoder(path, remembered)
