@@ -391,7 +391,8 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         yield _bucket_rows(None, prints[a], prints[b])
         yield from linked(keys[stay], prints[stay])
 
-    sorted_buckets = buckets.repartition("key").sortWithinPartitions("key")
+    # By fingerprint within a bucket: which members lead must not follow the order of arrival.
+    sorted_buckets = buckets.repartition("key").sortWithinPartitions("key", *names)
     return sorted_buckets.mapInArrow(meet, _kinds(longs)).drop("key")
 
 
