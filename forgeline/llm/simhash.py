@@ -26,7 +26,6 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -275,8 +274,7 @@ def _masks(group: tuple[int, ...], radius: int, margins: np.ndarray | None, rows
 
 def _probe(classes: DataFrame, how: SimHash, chosen: Plan) -> DataFrame:
     """(key, a0.., b0..): the buckets in which each class is looked for; the partition is in the
-    key's topmost bits. With flips, members of a bucket that is large within a batch come out as
-    links a to b already, and only its leaders as members (b null)."""
+    key's topmost bits. Nothing is left out here, so the buckets do not depend on batches (b null)."""
     nbits, longs = how.bits, how.longs
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,14 +297,7 @@ def _probe(classes: DataFrame, how: SimHash, chosen: Plan) -> DataFrame:
                     if len(chosen.groups) > 1:  # a single partition uses all 64 bits
                         probed |= np.uint64(part) << np.uint64(60)
                     members = prints[np.repeat(np.arange(rows), masks.shape[1])]
-                    if how.flips:
-                        order = np.argsort(probed, kind="stable")
-                        probed, members = probed[order], members[order]
-                        kept, a, b = _reduced(probed, members, how.distance)
-                        yield _bucket_rows(probed[kept], members[kept], None)
-                        yield _bucket_rows(probed[a], members[a], members[b])
-                    else:
-                        yield _bucket_rows(probed, members, None)
+                    yield _bucket_rows(probed, members, None)
 
     return classes.select("w", "margin").mapInArrow(probes, _kinds(longs))
 
@@ -354,8 +345,7 @@ def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.nd
 
 
 def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
-    """Links (a0.., b0..) between members of a bucket, in one pass over the sorted buckets; links
-    that are there already are passed on.
+    """Links (a0.., b0..) between members of a bucket, in one pass over the sorted buckets.
 
     Small buckets are compared pairwise, larger ones through leaders. A bucket that goes over
     many batches is held as its leaders, so memory does not follow its size.
@@ -374,9 +364,6 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, prints = np.zeros(0, np.int64), np.zeros((0, longs), np.int64)
         for batch in batches:
-            member = batch.column("b0").is_null()
-            yield batch.filter(pc.invert(member))
-            batch = batch.filter(member)
             keys = np.r_[keys, batch.column("key").to_numpy()]
             prints = np.concatenate([prints, np.stack([batch.column(c).to_numpy() for c in names], 1)])
             if len(keys) < HELD:

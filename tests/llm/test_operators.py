@@ -86,6 +86,17 @@ def test_large_buckets_keep_one_leader_per_group():
     assert len(stay) == 3 and len(a) == 147 and all(x // 50 == y // 50 for x, y in zip(a, b))
 
 
+def test_probes_do_not_depend_on_partitions(spark):
+    """The buckets of a family are the same however its rows are dealt out."""
+    rng = np.random.default_rng(3)
+    prints = rng.integers(0, 2**62, (1, 2)) ^ (1 << rng.integers(0, 60, (200, 2)))
+    rows = [([int(x) for x in p], bytes(range(128))) for p in prints]
+    classes = spark.createDataFrame(rows, "w array<bigint>, margin binary")
+    chosen = simhash.Plan(tuple(tuple(range(32 * k, 32 * k + 32)) for k in range(4)), (5,) * 4)
+    once, often = (sorted(map(str, simhash._probe(classes.repartition(n), simhash.FIVE_WORDS, chosen).collect())) for n in (1, 7))
+    assert once == often and len(once) == 200 * 4 * 32
+
+
 def test_allocation_is_the_cheapest():
     costs = [[0.0, 4.0, 9.0], [0.0, 1.0, 2.0], [0.0, 5.0, 5.5]]
     assert simhash.allocate(costs, 3)[1] == min(a + b + c for i, a in enumerate(costs[0]) for j, b in enumerate(costs[1]) for k, c in enumerate(costs[2]) if i + j + k >= 3)
