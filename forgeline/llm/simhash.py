@@ -14,7 +14,8 @@ wanted similarity meet with the wanted probability at the least estimated cost.
 fingerprint is then verified on sketches of the shingle sets.
 
 Equal fingerprints are one class from the start, so copies cost nothing. Buckets that many
-different fingerprints share are not compared pairwise: see ``_dense_links`` and ``_reduced``.
+different fingerprints share are not compared pairwise: see ``_dense_links``, and ``_crossed`` for what
+is left where the links to leaders do not already join.
 """
 
 from __future__ import annotations
@@ -35,12 +36,14 @@ from .common import by_slices, packed, unpacked
 from .graph import components
 
 SEED = 42
-#: Buckets with more members than this are not compared pairwise.
+#: Buckets with more members than this, and more links a member, are first linked through leaders.
 PAIRWISE = 32
 #: Units of the logarithm of a miss in the allocation of flips.
 UNITS = 20
 #: Rows of one bucket that a task holds before it reduces them to leaders.
 HELD = 20_000
+#: Members of a dense bucket that are compared with as many others in one cell.
+BLOCK = 4_096
 #: Second and further 64 bits of a fingerprint: steps of the splitmix64 mixer over the hash.
 GOLDEN, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 PRINT = pa.struct([("w", pa.list_(pa.int64())), ("margin", pa.binary()), ("sketch", pa.binary())])
@@ -323,9 +326,8 @@ def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.nd
     """Sorted bucket members to the places that stay, and links (a, b) of those that leave.
 
     In a run of more than PAIRWISE members the first is the leader, members near it are linked to it and
-    leave, and the first of the others is the next leader. Leaders stay, so members of the same
-    bucket elsewhere still meet them. Links between two members of different leaders are only found
-    where the two meet again, in one of their other buckets.
+    leave, and the first of the others is the next leader. The links are not all there are: pairs that
+    the verified ones leave in different components are compared by ``_crossed``.
     """
     edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, int)
     stay, a, b = np.ones(len(keys), bool), [], []
@@ -345,10 +347,12 @@ def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.nd
 
 
 def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
-    """Links (a0.., b0..) between members of a bucket, in one pass over the sorted buckets.
+    """Links (a0.., b0.., no key) between members of a bucket, and the members (key, a0..) of the
+    buckets whose links are not all here, in one pass over the sorted buckets.
 
-    Small buckets are compared pairwise, larger ones through leaders. A bucket that goes over
-    many batches is held as its leaders, so memory does not follow its size.
+    Buckets are compared pairwise. One of over PAIRWISE members with more than PAIRWISE links a member, or of
+    over HELD members, gives the links to its leaders only, and its members for ``_crossed``. It is
+    held as leaders if it goes over many batches, so memory does not follow its size.
     """
     longs, names = how.longs, [f"a{k}" for k in range(how.longs)]
 
@@ -361,26 +365,118 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
             if len(near):
                 yield _bucket_rows(None, prints[near], prints[near + lag])
 
+    def all_pairs(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The links of one bucket, or None if there are too many."""
+        a, b, count = [], [], 0
+        for i in range(len(prints) - 1):
+            near = np.flatnonzero(_apart(prints[i + 1 :], prints[i : i + 1]) <= how.distance) + i + 1
+            count += len(near)
+            if count > PAIRWISE * len(prints):
+                return None
+            a.append(np.full(len(near), i))
+            b.append(near)
+        return np.concatenate(a), np.concatenate(b)
+
+    def settled(keys: np.ndarray, prints: np.ndarray, known: int, whole: bool) -> Iterator[pa.RecordBatch | np.ndarray]:
+        """What runs of keys give; then, unless the last is ``whole``, the places of it that are held. The
+        first ``known`` rows are leaders of a bucket whose members have been given."""
+        edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, int)
+        small, dense = np.ones(len(keys), bool), np.zeros(len(keys), bool)
+        open_at = len(keys) if whole else edges[-2]
+        sizes = np.diff(edges)
+        for k in np.flatnonzero((sizes > PAIRWISE) | (edges[:-1] >= open_at) | ((edges[:-1] == 0) & (known > 0))):
+            start, end = edges[k], edges[k + 1]
+            if start >= open_at and end - start < HELD and not (known and start == 0):
+                small[start:end] = False  # is held as it is
+                continue
+            small[start:end] = False
+            pairs = None if end - start >= HELD or (known and start == 0) else all_pairs(prints[start:end])
+            if pairs is None:
+                dense[start:end] = True
+            elif len(pairs[0]):
+                yield _bucket_rows(None, prints[start:end][pairs[0]], prints[start:end][pairs[1]])
+        yield from linked(keys[small], prints[small])
+        fresh = np.flatnonzero(dense)
+        fresh = fresh[fresh >= known]
+        yield _bucket_rows(keys[fresh], prints[fresh], None)
+        led = np.flatnonzero(dense)
+        stay, a, b = _reduced(keys[led], prints[led], how.distance)
+        yield _bucket_rows(None, prints[led[a]], prints[led[b]])
+        if not whole:
+            held = np.arange(open_at, len(keys))
+            yield led[stay][led[stay] >= open_at][: HELD // 2] if dense[open_at] else held
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, prints = np.zeros(0, np.int64), np.zeros((0, longs), np.int64)
+        keys, prints, known = np.zeros(0, np.int64), np.zeros((0, longs), np.int64), 0
         for batch in batches:
             keys = np.r_[keys, batch.column("key").to_numpy()]
             prints = np.concatenate([prints, np.stack([batch.column(c).to_numpy() for c in names], 1)])
             if len(keys) < HELD:
                 continue
-            stay, a, b = _reduced(keys, prints, how.distance)
-            yield _bucket_rows(None, prints[a], prints[b])
-            keys, prints = keys[stay], prints[stay]
-            last = int(np.searchsorted(keys, keys[-1]))
-            yield from linked(keys[:last], prints[:last])
-            keys, prints = keys[last:], prints[last:]
-        stay, a, b = _reduced(keys, prints, how.distance)
-        yield _bucket_rows(None, prints[a], prints[b])
-        yield from linked(keys[stay], prints[stay])
-
-    # By fingerprint within a bucket: which members lead must not follow the order of arrival.
+            first = keys[0]
+            *given, held = settled(keys, prints, known, False)
+            yield from given
+            same = known and keys[held[0]] == first
+            known = len(held) if same or len(keys) - held[0] >= HELD else 0
+            keys, prints = keys[held], prints[held]
+        yield from settled(keys, prints, known, True)
+
     sorted_buckets = buckets.repartition("key").sortWithinPartitions("key", *names)
-    return sorted_buckets.mapInArrow(meet, _kinds(longs)).drop("key")
+    return sorted_buckets.mapInArrow(meet, _kinds(longs))
+
+
+def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
+    """(a, b): names of the members of a dense bucket that are near each other and have no common root yet.
+
+    With these, every pair of a dense bucket is either compared or in one component
+    already. Members are dealt into blocks of about BLOCK and each pair of blocks is a task's cell, so that
+    memory and tasks do not follow the size of a bucket.
+    """
+    longs = how.longs
+    members = members.select("key", _hex([F.col(f"a{k}") for k in range(longs)]).alias("node")).distinct()
+    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = materialize(members, "near-dense")
+    count = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("one"), F.max("root").alias("other"))
+    count = count.where("one <> other").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    cells = members.join(count, "key").join(classes.select("node", "w", "sketch"), "node")
+    cells = cells.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cells = cells.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = cells.select("key", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"), "block", "node", "root", "w", "sketch")
+
+    def compared(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        cell = cell.combine_chunks()
+        n, apart = cell.num_rows, cell["x"][0] != cell["y"][0]
+        prints = np.array(cell["w"].to_pylist(), np.int64).reshape(n, -1)[:, :longs]
+        sketches = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint8).reshape(n, SKETCH)
+        block, names = cell["block"].to_numpy(), cell["node"]
+        root = np.unique(np.array(cell["root"].to_pylist()), return_inverse=True)[1]
+        for i in range(n - 1):
+            other = root[i + 1 :] != root[i]
+            if apart:
+                other &= block[i + 1 :] != block[i]
+            at = np.flatnonzero(other) + i + 1
+            at = at[_apart(prints[at], prints[i : i + 1]) <= how.distance]
+            at = at[_alike(sketches[at], sketches[i : i + 1], how)]
+            if len(at):
+                a = pa.array([names[i].as_py()] * len(at), pa.string())
+                yield pa.RecordBatch.from_arrays([a, names.take(pa.array(at)).combine_chunks()], names=["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            at = np.stack([held[c].to_numpy() for c in ("key", "x", "y")], 1)
+            edges = [0, *(np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1).tolist()]
+            for start, end in zip(edges[:-1], edges[1:]):
+                yield from compared(held.slice(start, end - start))
+            held = held.slice(edges[-1])
+        if held is not None and held.num_rows:
+            yield from compared(held)
+
+    dealt = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    pairs = dealt.mapInArrow(compare, "a string, b string")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _named(links: DataFrame, how: SimHash) -> DataFrame:
@@ -410,6 +506,13 @@ def _dense_links(nodes: DataFrame) -> DataFrame:
     return spread.select("a0", F.min("a0").over(Window.partitionBy("centre")).alias("b0"))
 
 
+def _alike(a: np.ndarray, b: np.ndarray, how: SimHash) -> np.ndarray:
+    """Whether sketches, row by row, say that the shingles are as similar as wanted."""
+    used = np.maximum(((a > 0) | (b > 0)).sum(1), 1)
+    equal = ((a == b) & (a > 0)).sum(1) / used
+    return (equal - 1 / 255) / (1 - 1 / 255) >= how.similarity - SLACK
+
+
 def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
     """The links whose sketches, too, say that the shingles are as similar as wanted."""
 
@@ -417,10 +520,7 @@ def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(n, SKETCH) for c in ("as", "bs"))
-            used = np.maximum(((a > 0) | (b > 0)).sum(1), 1)
-            equal = ((a == b) & (a > 0)).sum(1) / used
-            alike = (equal - 1 / 255) / (1 - 1 / 255) >= how.similarity - SLACK
-            yield batch.select(["a", "b"]).filter(pa.array(alike))
+            yield batch.select(["a", "b"]).filter(pa.array(_alike(a, b, how)))
 
     of = classes.select("node", "sketch")
     rows = near.join(of.withColumnsRenamed({"node": "a", "sketch": "as"}), "a").join(of.withColumnsRenamed({"node": "b", "sketch": "bs"}), "b")
@@ -431,8 +531,13 @@ def links(classes: DataFrame, how: SimHash) -> DataFrame:
     """(a, b): names of fingerprints that are linked; classes have w and margin."""
     buckets = _probe(classes, how, plan(classes, how))
     if how.flips:
-        near = _named(_met_in_buckets(buckets, how), how)
-        return _similar(materialize(near, "near-named"), classes, how)
+        met = materialize(_met_in_buckets(buckets, how), "near-met")
+        near = materialize(_named(met.where("key is null"), how), "near-named")
+        sure = materialize(_similar(near, classes, how), "near-links")
+        members = met.where("key is not null")
+        if members.isEmpty():
+            return sure
+        return sure.unionByName(_crossed(members, components(sure), classes, how))
     buckets = materialize(buckets, "near-buckets")
     if how.distance != 2 or how.longs != 1:
         return _named(_pairs(buckets, how), how)

@@ -97,6 +97,42 @@ def test_probes_do_not_depend_on_partitions(spark):
     assert once == often and len(once) == 200 * 4 * 32
 
 
+def shingles(text):
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def relatives():
+    """Sixty relatives at similarity 0.7 or so, each with a copy of similarity over 0.9."""
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 5000, 600)]
+    texts = []
+    for k in range(60):
+        text = list(base)
+        for i, at in enumerate(rng.choice(600, 11, replace=False)):
+            text[at] = f"own{k}x{i}"
+        at = int(rng.integers(0, 590))
+        texts += [text, [*text[:at], f"new{k}", *text[at + 1 :]]]
+    return [" ".join(t) for t in texts]
+
+
+def test_copies_among_relatives_are_found(spark, monkeypatch):
+    """Every pair of a large bucket counts, however its links to the leaders were verified."""
+    texts = relatives()
+    sets = [shingles(t) for t in texts]
+    pairs = [(a, b, jaccard(sets[a], sets[b])) for a in range(len(texts)) for b in range(a)]
+    assert 0.6 < np.median([j for *_, j in pairs]) < 0.75
+    monkeypatch.setattr(simhash, "plan", lambda classes, how: simhash.Plan(((0,), (1,)), (1, 1)))  # all meet in all buckets
+    for parts in (1, 6):
+        rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(parts)
+        got = {r.id: r.component_id for r in simhash.grouped(rows, simhash.FIVE_WORDS).select("component_id", "id").collect()}
+        assert all(got[a] == got[b] for a, b, j in pairs if j >= 0.9)
+
+
 def test_allocation_is_the_cheapest():
     costs = [[0.0, 4.0, 9.0], [0.0, 1.0, 2.0], [0.0, 5.0, 5.5]]
     assert simhash.allocate(costs, 3)[1] == min(a + b + c for i, a in enumerate(costs[0]) for j, b in enumerate(costs[1]) for k, c in enumerate(costs[2]) if i + j + k >= 3)
