@@ -11,9 +11,10 @@ For large distances (similarity 0.8 on longer fingerprints) no exact allocation
 There the least certain bits of each partition are flipped instead, those whose sum is nearest to
 the majority threshold; the same dynamic programme deals the flips out, so that pairs at the
 wanted similarity meet with the wanted probability at the least estimated cost. What is near by
-fingerprint is then verified on sketches of the shingle sets.
+fingerprint is then filtered by sketches of the shingle sets and verified on the sets themselves.
 
-Equal fingerprints are one class from the start, so copies cost nothing. Buckets that many
+Equal fingerprints (with flips: of equal sets of shingles) are one class from the start, so copies cost
+nothing. Buckets that many
 different fingerprints share are not compared pairwise: see ``_dense_links``, and ``_crossed`` for what
 is left where the links to leaders do not already join.
 """
@@ -49,8 +50,8 @@ GOLDEN, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 PRINT = pa.struct([("w", pa.list_(pa.int64())), ("margin", pa.binary()), ("sketch", pa.binary())])
 #: Bytes of a sketch: one per bin of shingle hashes, from the smallest of the bin; 0 if it is empty.
 SKETCH = 256
-#: What a sketch's estimate may be short of the wanted similarity: its deviation at 0.8.
-SLACK = 0.03
+#: What a sketch's estimate may be short of the wanted similarity: four of its deviations at 0.8.
+SLACK = 0.1
 
 
 @dataclass(frozen=True)
@@ -69,6 +70,11 @@ class SimHash:
     def bits(self) -> int:
         return 64 * self.longs
 
+    @property
+    def width(self) -> int:
+        """Longs that tell classes apart: with flips, the last is a hash of the set of shingles."""
+        return self.longs + (self.flips > 0)
+
 
 #: As the contract of op2 has it.
 THREE_WORDS = SimHash()
@@ -84,16 +90,25 @@ def _sketch(h: np.ndarray) -> bytes:
     return np.where(least == np.iinfo(np.uint64).max, np.uint8(0), values).tobytes()
 
 
-def _print_of(text: str, how: SimHash) -> tuple[list[int], bytes | None, bytes | None]:
+def _shingles(text: str, how: SimHash) -> np.ndarray:
+    """The hashes of a text's shingles, as often as they occur; none without words."""
     body = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, gaps 09-0D and 20
     if not body:
-        return [0] * how.longs, *((bytes(how.bits), bytes(SKETCH)) if how.flips else (None, None))
+        return np.zeros(0, np.uint64)
     joined, k = b" ".join(body), min(how.shingle, len(body))
     lengths = np.fromiter(map(len, body), np.int64, len(body))
     ends = np.cumsum(lengths + 1) - 1
     starts = (ends - lengths)[: len(body) - k + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist())], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1 :].tolist())], np.uint64)
+
+
+def _print_of(text: str, how: SimHash) -> tuple[list[int], bytes | None, bytes | None]:
+    h = _shingles(text, how)
+    count = len(h)
+    if not count:
+        return [0] * how.width, *((bytes(how.bits), bytes(SKETCH)) if how.flips else (None, None))
+    of_set = np.array([xxhash.xxh64_intdigest(np.unique(h).tobytes(), SEED)], "<u8").view("<i8").tolist() if how.flips else []
     counts, sketch = [], _sketch(h) if how.flips else None
     for _ in range(how.longs):
         padded = np.zeros((-len(h) % 255 + len(h)), np.uint64)
@@ -103,9 +118,9 @@ def _print_of(text: str, how: SimHash) -> tuple[list[int], bytes | None, bytes |
         h = h * GOLDEN
         h = (h ^ (h >> np.uint64(29))) * MIX
         h = h ^ (h >> np.uint64(32))
-    over = 2 * np.concatenate(counts) - len(starts)
-    margin = np.minimum(255, np.abs(over) * (64 / np.sqrt(len(starts)))).astype(np.uint8).tobytes() if how.flips else None
-    return np.packbits(over > 0, bitorder="little").view("<i8").tolist(), margin, sketch
+    over = 2 * np.concatenate(counts) - count
+    margin = np.minimum(255, np.abs(over) * (64 / np.sqrt(count))).astype(np.uint8).tobytes() if how.flips else None
+    return np.packbits(over > 0, bitorder="little").view("<i8").tolist() + of_set, margin, sketch
 
 
 def fingerprint(text: Column, how: SimHash = THREE_WORDS) -> Column:
@@ -140,8 +155,9 @@ def _bit_sums(classes: DataFrame, how: SimHash) -> tuple[int, np.ndarray]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            longs = batch.column("w").flatten().to_numpy(zero_copy_only=False).astype("<i8")
-            bits = np.unpackbits(longs.view(np.uint8).reshape(-1, n // 8), axis=1, bitorder="little").astype(np.float32)
+            longs = batch.column("w").flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(-1, how.width)
+            longs = np.ascontiguousarray(longs[:, : how.longs])
+            bits = np.unpackbits(longs.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
             total += bits.T @ bits
             count += len(bits)
         yield pa.RecordBatch.from_pydict({"count": [count], "sums": [total.ravel()]})
@@ -278,15 +294,15 @@ def _masks(group: tuple[int, ...], radius: int, margins: np.ndarray | None, rows
 def _probe(classes: DataFrame, how: SimHash, chosen: Plan) -> DataFrame:
     """(key, a0.., b0..): the buckets in which each class is looked for; the partition is in the
     key's topmost bits. Nothing is left out here, so the buckets do not depend on batches (b null)."""
-    nbits, longs = how.bits, how.longs
+    nbits, width = how.bits, how.width
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 10_000):
                 batch = whole.slice(at, 10_000)
-                prints = batch.column("w").flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(-1, longs)
+                prints = batch.column("w").flatten().to_numpy(zero_copy_only=False).astype("<i8").reshape(-1, width)
                 rows = len(prints)
-                bits = np.unpackbits(prints.view(np.uint8).reshape(rows, -1), axis=1, bitorder="little")
+                bits = np.unpackbits(np.ascontiguousarray(prints[:, : how.longs]).view(np.uint8), axis=1, bitorder="little")
                 margins = None
                 if how.flips:
                     margins = np.frombuffer(b"".join(batch.column("margin").to_pylist()), np.uint8).reshape(rows, nbits)
@@ -302,7 +318,7 @@ def _probe(classes: DataFrame, how: SimHash, chosen: Plan) -> DataFrame:
                     members = prints[np.repeat(np.arange(rows), masks.shape[1])]
                     yield _bucket_rows(probed, members, None)
 
-    return classes.select("w", "margin").mapInArrow(probes, _kinds(longs))
+    return classes.select("w", "margin").mapInArrow(probes, _kinds(width))
 
 
 def _kinds(longs: int) -> str:
@@ -354,14 +370,17 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
     over HELD members, gives the links to its leaders only, and its members for ``_crossed``. It is
     held as leaders if it goes over many batches, so memory does not follow its size.
     """
-    longs, names = how.longs, [f"a{k}" for k in range(how.longs)]
+    width, names = how.width, [f"a{k}" for k in range(how.width)]
+
+    def bits(prints: np.ndarray) -> np.ndarray:
+        return prints[:, : how.longs]
 
     def linked(keys: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
         for lag in range(1, len(keys)):
             at = np.flatnonzero(keys[lag:] == keys[:-lag])
             if not len(at):
                 break
-            near = at[_apart(prints[at], prints[at + lag]) <= how.distance]
+            near = at[_apart(bits(prints[at]), bits(prints[at + lag])) <= how.distance]
             if len(near):
                 yield _bucket_rows(None, prints[near], prints[near + lag])
 
@@ -369,7 +388,7 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         """The links of one bucket, or None if there are too many."""
         a, b, count = [], [], 0
         for i in range(len(prints) - 1):
-            near = np.flatnonzero(_apart(prints[i + 1 :], prints[i : i + 1]) <= how.distance) + i + 1
+            near = np.flatnonzero(_apart(bits(prints[i + 1 :]), bits(prints[i : i + 1])) <= how.distance) + i + 1
             count += len(near)
             if count > PAIRWISE * len(prints):
                 return None
@@ -400,14 +419,14 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         fresh = fresh[fresh >= known]
         yield _bucket_rows(keys[fresh], prints[fresh], None)
         led = np.flatnonzero(dense)
-        stay, a, b = _reduced(keys[led], prints[led], how.distance)
+        stay, a, b = _reduced(keys[led], bits(prints[led]), how.distance)
         yield _bucket_rows(None, prints[led[a]], prints[led[b]])
         if not whole:
             held = np.arange(open_at, len(keys))
             yield led[stay][led[stay] >= open_at][: HELD // 2] if dense[open_at] else held
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, prints, known = np.zeros(0, np.int64), np.zeros((0, longs), np.int64), 0
+        keys, prints, known = np.zeros(0, np.int64), np.zeros((0, width), np.int64), 0
         for batch in batches:
             keys = np.r_[keys, batch.column("key").to_numpy()]
             prints = np.concatenate([prints, np.stack([batch.column(c).to_numpy() for c in names], 1)])
@@ -422,7 +441,7 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         yield from settled(keys, prints, known, True)
 
     sorted_buckets = buckets.repartition("key").sortWithinPartitions("key", *names)
-    return sorted_buckets.mapInArrow(meet, _kinds(longs))
+    return sorted_buckets.mapInArrow(meet, _kinds(width))
 
 
 def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
@@ -433,7 +452,7 @@ def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimH
     memory and tasks do not follow the size of a bucket.
     """
     longs = how.longs
-    members = members.select("key", _hex([F.col(f"a{k}") for k in range(longs)]).alias("node")).distinct()
+    members = members.select("key", _hex([F.col(f"a{k}") for k in range(how.width)]).alias("node")).distinct()
     members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = materialize(members, "near-dense")
     count = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("one"), F.max("root").alias("other"))
@@ -481,7 +500,7 @@ def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimH
 
 def _named(links: DataFrame, how: SimHash) -> DataFrame:
     """Links as (a, b) of fingerprint names."""
-    side = lambda c: _hex([F.col(f"{c}{k}") for k in range(how.longs)]).alias(c)
+    side = lambda c: _hex([F.col(f"{c}{k}") for k in range(how.width)]).alias(c)
     return links.select(side("a"), side("b")).where("a <> b").distinct()
 
 
@@ -507,14 +526,14 @@ def _dense_links(nodes: DataFrame) -> DataFrame:
 
 
 def _alike(a: np.ndarray, b: np.ndarray, how: SimHash) -> np.ndarray:
-    """Whether sketches, row by row, say that the shingles are as similar as wanted."""
+    """Whether sketches, row by row, say that the shingles may be as similar as wanted."""
     used = np.maximum(((a > 0) | (b > 0)).sum(1), 1)
     equal = ((a == b) & (a > 0)).sum(1) / used
     return (equal - 1 / 255) / (1 - 1 / 255) >= how.similarity - SLACK
 
 
 def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
-    """The links whose sketches, too, say that the shingles are as similar as wanted."""
+    """The links whose sketches, too, say that the shingles may be as similar as wanted."""
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -527,17 +546,46 @@ def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
     return rows.select("a", "b", "as", "bs").mapInArrow(verified, "a string, b string")
 
 
-def links(classes: DataFrame, how: SimHash) -> DataFrame:
-    """(a, b): names of fingerprints that are linked; classes have w and margin."""
+def _exact(pairs: DataFrame, texts: DataFrame, how: SimHash) -> DataFrame:
+    """The pairs (a, b) whose texts' sets of shingles have the wanted Jaccard similarity.
+
+    Sets are made of the texts in some pair only, once per class; ``pairs`` and ``texts`` are stored tables.
+    """
+    binary = pa.binary()
+
+    def sets(part: list[str]) -> pa.Array:
+        return pa.array([np.unique(_shingles(t, how)).tobytes() for t in part], binary)
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for x, y in zip(batch.column("as"), batch.column("bs")):
+                one, other = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                common = len(np.intersect1d(one, other, assume_unique=True))
+                alike.append(common / max(len(one) + len(other) - common, 1) >= how.similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    of = texts.join(wanted, "node", "left_semi").withColumn("set", F.arrow_udf(by_slices(sets, binary), "binary")("text"))
+    of = materialize(of.groupBy("node").agg(F.first("set").alias("set")), "near-sets")
+    rows = pairs.join(of.withColumnsRenamed({"node": "a", "set": "as"}), "a").join(of.withColumnsRenamed({"node": "b", "set": "bs"}), "b")
+    return rows.select("a", "b", "as", "bs").mapInArrow(verified, "a string, b string")
+
+
+def links(classes: DataFrame, how: SimHash, texts: DataFrame | None = None) -> DataFrame:
+    """(a, b): names of classes that are linked; classes have w and margin. With flips, ``texts``
+    has node and text of their members."""
     buckets = _probe(classes, how, plan(classes, how))
     if how.flips:
         met = materialize(_met_in_buckets(buckets, how), "near-met")
         near = materialize(_named(met.where("key is null"), how), "near-named")
-        sure = materialize(_similar(near, classes, how), "near-links")
+        near = materialize(_similar(near, classes, how), "near-alike")
+        sure = materialize(_exact(near, texts, how), "near-links")
         members = met.where("key is not null")
         if members.isEmpty():
             return sure
-        return sure.unionByName(_crossed(members, components(sure), classes, how))
+        crossed = materialize(_crossed(members, components(sure), classes, how), "near-crossed")
+        return sure.unionByName(_exact(crossed, texts, how))
     buckets = materialize(buckets, "near-buckets")
     if how.distance != 2 or how.longs != 1:
         return _named(_pairs(buckets, how), how)
@@ -558,18 +606,22 @@ def grouped(docs: DataFrame, how: SimHash = THREE_WORDS, text: str = "text", doc
     """
     base = packed(docs, id=f"{doc_id}:bigint", text=text)
     base = base if keep_rows else base.drop("row")
-    prints = base.withColumn("print", fingerprint(F.col("text"), how)).drop("text").select("*", "print.*").drop("print")
-    prints = materialize(prints.withColumn("node", _hex([F.get("w", k) for k in range(how.longs)])), "near-prints")
+    prints = base.withColumn("print", fingerprint(F.col("text"), how)).select("*", "print.*").drop("print")
+    in_row = keep_rows and text in docs.columns
+    prints = prints if how.flips and not in_row else prints.drop("text")  # rows have it already
+    prints = materialize(prints.withColumn("node", _hex([F.get("w", k) for k in range(how.width)])), "near-prints")
+    texts = prints.select("node", F.col("row").getField(text).alias("text") if in_row else "text") if how.flips else None
     classes = prints.groupBy("node").agg(
         F.first("w").alias("w"), F.max("margin").alias("margin"), F.max("sketch").alias("sketch"), F.min("id").alias("least")
     )
     classes = materialize(classes, "near-classes")
-    found = components(links(classes, how))
+    found = components(links(classes, how, texts))
     found = classes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found = materialize(found, "near-roots")
     least = found.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = materialize(found.drop("least").join(least, "root"), "near-components")
-    return prints.drop("w", "margin", "sketch").join(of_class, "node").withColumnsRenamed({"node": "fingerprint", "root": "component"})
+    rows = prints.drop("text", "w", "margin", "sketch").join(of_class, "node").withColumnsRenamed({"node": "fingerprint", "root": "component"})
+    return rows.withColumn("fingerprint", F.substring("fingerprint", 1, 16 * how.longs)) if how.flips else rows
 
 
 def distinct_documents(docs: DataFrame, how: SimHash = FIVE_WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:

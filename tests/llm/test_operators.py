@@ -90,7 +90,7 @@ def test_probes_do_not_depend_on_partitions(spark):
     """The buckets of a family are the same however its rows are dealt out."""
     rng = np.random.default_rng(3)
     prints = rng.integers(0, 2**62, (1, 2)) ^ (1 << rng.integers(0, 60, (200, 2)))
-    rows = [([int(x) for x in p], bytes(range(128))) for p in prints]
+    rows = [([*map(int, p), k][: simhash.FIVE_WORDS.width], bytes(range(128))) for k, p in enumerate(prints)]
     classes = spark.createDataFrame(rows, "w array<bigint>, margin binary")
     chosen = simhash.Plan(tuple(tuple(range(32 * k, 32 * k + 32)) for k in range(4)), (5,) * 4)
     once, often = (sorted(map(str, simhash._probe(classes.repartition(n), simhash.FIVE_WORDS, chosen).collect())) for n in (1, 7))
@@ -133,6 +133,32 @@ def test_copies_among_relatives_are_found(spark, monkeypatch):
         assert all(got[a] == got[b] for a, b, j in pairs if j >= 0.9)
 
 
+def test_near_copies_are_verified_on_their_shingles(spark, monkeypatch):
+    """Components are those of brute force, for similarities on both sides of 0.8, for texts of equal
+    fingerprints but different shingles, and where a bucket goes over many batches and blocks."""
+    texts = relatives()[:60]
+    for k in range(120):
+        text = [f"t{k}y{i}" for i in range(400)]
+        changed, lost = list(text), 30 + k % 24
+        changed[200 : 200 + lost] = [f"u{k}y{i}" for i in range(lost)]  # similarity 0.85 to 0.75
+        texts += [" ".join(text), " ".join(changed)]
+    line = "one line that comes again and again in it "
+    texts += [line * 500 + " ".join(f"{n}{i}" for i in range(12)) for n in "pq"]
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if jaccard(sets[a], sets[b]) >= 0.8:
+                root = [root[b] if r == root[a] else r for r in root]
+    monkeypatch.setattr(simhash, "plan", lambda classes, how: simhash.Plan(((0,), (1,)), (1, 1)))
+    monkeypatch.setattr(simhash, "HELD", 100)
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = simhash.grouped(rows, simhash.FIVE_WORDS).select("component_id", "id").collect()
+    parts = lambda root: {frozenset(i for i, r in root.items() if r == c) for c in set(root.values())}
+    assert parts({r.id: r.component_id for r in got}) == parts(dict(enumerate(root)))
+
+
 def test_allocation_is_the_cheapest():
     costs = [[0.0, 4.0, 9.0], [0.0, 1.0, 2.0], [0.0, 5.0, 5.5]]
     assert simhash.allocate(costs, 3)[1] == min(a + b + c for i, a in enumerate(costs[0]) for j, b in enumerate(costs[1]) for k, c in enumerate(costs[2]) if i + j + k >= 3)
