@@ -10,6 +10,7 @@ matches and where. Any stretch of w + k - 1 unchanged words of a template is sur
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import defaultdict
 from dataclasses import dataclass, field
 
@@ -78,8 +79,9 @@ def index(templates: dict[str, str], how: Scan = Scan()) -> Index:
     return out
 
 
-def align(template: list[str], text: list[str], diagonal: int, band: int) -> tuple[int, int, int]:
-    """Best local alignment near the diagonal: (matched words, first, end) in ``text``.
+def align(template: list[str], text: list[str], diagonal: int, band: int, low: int, high: int) -> tuple[int, int, int]:
+    """Best local alignment near the diagonal with words ``low`` to ``high`` of ``text``: (matched
+    words, first, end).
 
     A match scores 2, a difference, an added or a lost word -1. The table has 2 band + 1 cells per
     word of the template.
@@ -91,7 +93,7 @@ def align(template: list[str], text: list[str], diagonal: int, band: int) -> tup
         now = [empty] * (width + 1)
         for c in range(width):
             j = i + diagonal + c - band
-            if not 0 <= j < len(text):
+            if not low <= j < high:
                 continue
             score, matched, first, end = row[c]  # the cell of the words before both
             if text[j] == word:
@@ -115,6 +117,40 @@ MATCHES = pa.list_(
 )
 
 
+def _spans(template: list[str], body: list[str], hits: list[tuple[int, int]], how: Scan) -> list[tuple[int, int, int]]:
+    """All matches (matched words, first, end) of one template that do not overlap.
+
+    Every diagonal of a hit (place in the text, diagonal) is aligned. Of matches that overlap, the one with
+    more matched words stays, then the earlier one; the hits outside of all that stay are aligned
+    again with the words left between them, until nothing is found.
+    """
+    out: list[tuple[int, int, int]] = []
+    tried = set()
+    while True:
+        edges = [0, *(edge for _, first, end in sorted(out, key=lambda m: m[1]) for edge in (first, end)), len(body)]
+        found = set()
+        for at, diagonal in hits:
+            k = bisect_right(edges, at) - 1
+            if k % 2:
+                continue  # lies inside a match
+            low = max(edges[k], diagonal - how.band)
+            high = min(edges[k + 1], diagonal + len(template) + how.band)
+            if (diagonal, low, high) in tried:
+                continue
+            tried.add((diagonal, low, high))
+            match = align(template, body, diagonal, how.band, low, high)
+            if match[0] >= how.coverage * len(template):
+                found.add(match)
+        if not found:
+            return out
+        taken: list[tuple[int, int]] = []
+        for matched, first, end in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
+            k = bisect_right(taken, (first, end))
+            if (k == 0 or taken[k - 1][1] <= first) and (k == len(taken) or end <= taken[k][0]):
+                taken.insert(k, (first, end))
+                out.append((matched, first, end))
+
+
 def find(text: str, known: Index, how: Scan) -> list[dict]:
     """The matches of one text: license, coverage, matched words, and the span in characters.
 
@@ -123,21 +159,16 @@ def find(text: str, known: Index, how: Scan) -> list[dict]:
     """
     spans = [m.span() for m in WORD.finditer(text)]
     body = [text[a:b].lower() for a, b in spans]
-    hits: dict[str, list[int]] = defaultdict(list)
+    hits: dict[str, list[tuple[int, int]]] = defaultdict(list)
     for k in {len(g) for g in known.grams}:
         for at, gram in enumerate(zip(*(body[i:] for i in range(k)))):
             for name, i in known.grams.get(gram, ()):
-                hits[name].append(at - i)
+                hits[name].append((at, at - i))
     found = []
-    for name, diagonals in hits.items():
-        template, last = known.words[name], None
-        for diagonal in sorted(diagonals):
-            if last is not None and diagonal - last <= how.band:
-                continue  # lies within the band of the candidate before
-            last = diagonal
-            matched, first, end = align(template, body, diagonal, how.band)
-            if matched >= how.coverage * len(template):
-                found.append((-matched, name, first, end, matched / len(template)))
+    for name, places in hits.items():
+        template = known.words[name]
+        for matched, first, end in _spans(template, body, places, how):
+            found.append((-matched, name, first, end, matched / len(template)))
     kept: list[tuple] = []
     for match in sorted(set(found)):
         if all(match[3] <= other[2] or match[2] >= other[3] for other in kept):

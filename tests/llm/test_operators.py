@@ -355,6 +355,21 @@ def test_licenses(spark, docs, none):
     assert licenses.op10(docs).count() == 0 and licenses.op10(none).count() == 0
 
 
+def test_license_lines_that_stand_close_together():
+    """Every notice is reported, however few words lie between it and the one before."""
+    known = licenses.index(licenses.TEMPLATES)
+    for name in ("MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0"):
+        line = licenses.TEMPLATES[name]
+        for gap in ("", "and ", "one two three four five six seven eight nine ten "):
+            for times in (1, 2, 3, 7):
+                text = f"{gap}{line} " * times + "the end"
+                got = licenses.find(text, known, licenses.Scan())
+                starts = [k for k in range(len(text)) if text.startswith(line, k)]
+                assert [(m["license"], m["start"], m["coverage"]) for m in got] == [(name, k, 1) for k in starts]
+    cut = "Released under the MIT. Released under the MIT License."
+    assert [m["matched_words"] for m in licenses.find(cut, known, licenses.Scan())] == [4, 5]
+
+
 def test_nearest(spark):
     rng = np.random.default_rng(5)
     points = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((600, 16)) * rng.random((600, 1)))]
