@@ -25,6 +25,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
+def tidy(spark: SparkSession) -> None:
+    """Shuffle files go when the job that wrote them ends, and Arrow batches are small. For operators
+    that write what they use again, so that no later job needs the shuffles of an earlier one."""
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    small_batches(spark)
+
+
 def words(text: Column) -> Column:
     """The words of a text; none for null and blank texts."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_GAP), "")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, hnsw, language, licenses, mixing, packing, quality, repair, simhash, toxicity
+from . import counts, hnsw, language, licenses, mixing, packing, quality, repair, simhash, substrings, toxicity
 from .common import table
 
 
@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": _over("documents", packing.op8),
     "op9_language": _over("documents", language.op9),
     "op10_licenses": _over("documents", licenses.op10),
+    "op13_substring_dedup": _over("documents", substrings.op13),
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op5_source_mix": mixing.OP5_SQL}
