@@ -21,12 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, temporary_work, work_dir
 from .common import SLICE_CHARS, packed, tidy
 
 WINDOW = 20
 #: Words of the first level's windows; doubled until WINDOW is reached.
-SHORTEST = 5
+SHORTEST = 10
 #: Rows sent back at a time.
 ROWS = 65_536
 #: Stands for a missing id: rows without one come after all others.
@@ -178,11 +178,11 @@ def _extended(texts: DataFrame, length: int) -> DataFrame:
             who, at = np.unique(np.stack([who[inside], at[inside]]), axis=1)
             yield from _flat(rows, who, at - words.starts[who], {"h": words.hashes(at, 2 * length)})
 
-    return texts.mapInArrow(extend, "id bigint, t bigint, place bigint, h bigint")
+    return texts.mapInArrow(extend, "id bigint, t bigint, place int, h bigint")
 
 
 def _around(texts: DataFrame, length: int, window: int) -> DataFrame:
-    """All windows of the full length that hold a candidate of ``length``, by 128 bits of hash."""
+    """All windows of the full length that hold a candidate of ``length``, by 96 bits of hash."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, words, places, owner in _with_places(batches):
@@ -192,10 +192,10 @@ def _around(texts: DataFrame, length: int, window: int) -> DataFrame:
             at = words.windows(window)
             at = at[np.cumsum(marks)[at] > 0]
             who = np.searchsorted(words.starts, at, "right") - 1
-            both = {"h": words.hashes(at, window), "g": words.hashes(at, window, 1)}
+            both = {"h": words.hashes(at, window), "g": words.hashes(at, window, 1).astype(np.uint32)}
             yield from _flat(rows, who, at - words.starts[who], both)
 
-    return texts.mapInArrow(emit, "id bigint, t bigint, place bigint, h bigint, g bigint")
+    return texts.mapInArrow(emit, "id bigint, t bigint, place int, h bigint, g int")
 
 
 def _with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray]]:
@@ -215,8 +215,8 @@ def _flat(rows: pa.RecordBatch, who: np.ndarray, place: np.ndarray, hashes: dict
     ids = [rows.column(k).to_numpy() for k in (0, 1)]
     for first in range(0, len(who), ROWS):
         part = slice(first, first + ROWS)
-        columns = [pa.array(x[who[part]], pa.int64()) for x in ids] + [pa.array(place[part], pa.int64())]
-        columns += [pa.array(x[part].view(np.int64)) for x in hashes.values()]
+        columns = [pa.array(x[who[part]], pa.int64()) for x in ids] + [pa.array(place[part], pa.int32())]
+        columns += [pa.array(x[part].view(x.dtype.str.replace("u", "i"))) for x in hashes.values()]
         yield pa.RecordBatch.from_arrays(columns, names=["id", "t", "place", *hashes])
 
 
@@ -257,7 +257,7 @@ def deduplicated(
     A null text has no words; a null id counts as larger than any other. Different texts under one
     id come in the order of a hash of theirs; rows equal in id and text are one document and have one
     result. An empty table gives no rows; other columns play no part. Windows are told
-    apart by 128 bits of hash.
+    apart by 96 bits of hash.
     """
     lengths = [shortest]
     while lengths[-1] < window:
@@ -273,24 +273,27 @@ def deduplicated(
     originals = materialize(originals, "substrings-originals")
 
     pairs = F.explode(F.arrays_zip("hashes", "places")).alias("w")
-    windows = scanned.select(*IDENTITY, pairs).select(*IDENTITY, F.col("w.places").cast("bigint").alias("place"), F.col("w.hashes").alias("h"))
+    windows = scanned.select(*IDENTITY, pairs).select(*IDENTITY, F.col("w.places").alias("place"), F.col("w.hashes").alias("h"))
     texts = base.select(*IDENTITY, "text")
-    for length in lengths[:-1]:
-        repeated = _repeated(windows)
-        candidates = materialize(_candidates(windows, repeated, originals), "substrings-candidates")
-        # The texts of documents with candidates: each level has fewer of them.
-        texts = materialize(texts.join(candidates, IDENTITY), "substrings-texts")
-        if 2 * length < window:
-            windows = materialize(_extended(texts, length), "substrings-windows")
-            texts = texts.drop("places")
-    longest = materialize(_around(texts, lengths[-2], window), "substrings-windows")
-    order = F.struct("id", "t", "place")
-    earliest = longest.groupBy("h", "g").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    earliest = materialize(earliest.where("first < last").select("h", "g", "first"), "substrings-repeated")
-    later = longest.join(earliest, ["h", "g"]).where(order > F.col("first"))
-    later = later.groupBy(*IDENTITY).agg(F.collect_set("place").alias("places"))
-    cut = _removed(texts.drop("places").join(later, IDENTITY), window)
-    cut = materialize(cut.dropDuplicates(IDENTITY), "substrings-removed")
+    path = work_dir(docs.sparkSession, "substrings-removed")
+    with temporary_work(docs.sparkSession):
+        for length in lengths[:-1]:
+            candidates = materialize(_candidates(windows, _repeated(windows), originals), "substrings-candidates")
+            # The texts of documents with candidates: each level has fewer of them.
+            texts = materialize(texts.join(candidates, IDENTITY), "substrings-texts")
+            if 2 * length < window:
+                windows = materialize(_extended(texts, length), "substrings-windows")
+                texts = texts.drop("places")
+        # Hashed anew where they are used: that takes less than storing them.
+        longest = _around(texts, lengths[-2], window)
+        place = F.struct("id", "t", "place")
+        earliest = longest.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+        earliest = materialize(earliest.where("n > 1").select("h", "g", "first"), "substrings-repeated")
+        later = longest.join(earliest, ["h", "g"]).where(place > F.col("first"))
+        later = later.groupBy(*IDENTITY).agg(F.collect_set("place").alias("places"))
+        cut = _removed(texts.drop("places").join(later, IDENTITY), window)
+        cut.dropDuplicates(IDENTITY).write.parquet(path)
+    cut = docs.sparkSession.read.schema(cut.schema).parquet(path)
 
     heads = originals.select(*IDENTITY, F.lit(True).alias("original"))
     rows = scanned.select(*IDENTITY, "n_words", "whole").join(heads, IDENTITY, "left").join(cut, IDENTITY, "left")
