@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, counts, hnsw, language, licenses, mixing, packing, quality, repair, simhash, substrings, toxicity
+from . import alignment, counts, hnsw, language, licenses, mixing, packing, prefixes, quality, repair, simhash, substrings, toxicity
 from .common import table
 
 
@@ -26,8 +26,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": _over("documents", packing.op8),
     "op9_language": _over("documents", language.op9),
     "op10_licenses": _over("documents", licenses.op10),
+    "op11_prefix_trie": _over("conversations", prefixes.op11),
     "op12_token_alignment": _over("documents", alignment.op12),
     "op13_substring_dedup": _over("documents", substrings.op13),
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op5_source_mix": mixing.OP5_SQL}
+ORACLES = {"op5_source_mix": mixing.OP5_SQL, "op11_prefix_trie": prefixes.OP11_SQL}
