@@ -78,9 +78,9 @@ FROM v_msg m LEFT JOIN v_contract_ids k ON k.trsc = m.user_id WHERE m.topic = 's
 )
 subquery(
     "v_sale_parts",
-    """SELECT seq, del, user_id, ts, part1 AS part, round(value) * part1 + (seq % 100) * part2 AS cash FROM v_msg
+    """SELECT seq, del, user_id, ts, part1 AS part, round(value) * part1 + (event % 100) * part2 AS cash FROM v_msg
 WHERE topic = 'sales'
-UNION ALL SELECT seq, del, user_id, ts, part2, round(value) * part1 + (seq % 100) * part2 FROM v_msg
+UNION ALL SELECT seq, del, user_id, ts, part2, round(value) * part1 + (event % 100) * part2 FROM v_msg
 WHERE topic = 'sales'""",
 )
 subquery(
@@ -122,7 +122,7 @@ FROM (SELECT *, max(ends) OVER (PARTITION BY {_QUOTE} ORDER BY starts
 )
 subquery(
     "v_supply_priced",
-    """SELECT m.seq, m.machine, m.part1, m.made, m.ts, q.* FROM v_msg m JOIN v_visible q
+    """SELECT m.seq, m.event, m.machine, m.part1, m.made, m.ts, q.* FROM v_msg m JOIN v_visible q
   ON q.partId = m.part1 AND q.y = year(m.made) AND m.seq < q.goneAt
 WHERE m.topic = 'supply_chain' AND NOT m.del AND m.part1 IN (SELECT trsc FROM v_part_ids)""",
 )
@@ -133,7 +133,7 @@ subquery(
   CAST(-1 AS BIGINT) AS seq, false AS del FROM v_fact, v_run
 UNION ALL SELECT p.machine, p.part1, p.materialId, k.id, p.partId, p.materialId, p.made,
   CAST(strftime(p.made, '%Y%m%d') AS INTEGER), p.materialPrice, p.materialPriceDate, p.partDefaultPrice,
-  CAST(p.seq % 2 AS INTEGER), p.ts, p.seq, false
+  CAST(p.event % 2 AS INTEGER), p.ts, p.seq, false
 FROM v_supply_priced p JOIN v_machine_ids k ON k.trsc = p.machine""",
 )
 
@@ -186,13 +186,13 @@ def route_topics(i: Inputs) -> DataFrame:
     return routed.groupBy("topic", "handled").agg(F.count("*").alias("messages"))
 
 
-_UNMATCHED = """SELECT topic, partition, seq AS "offset", 'no quote for part and year' AS reason FROM v_msg
+_UNMATCHED = """SELECT topic, partition, "offset", 'no quote for part and year' AS reason FROM v_msg
 WHERE topic = 'supply_chain' AND NOT del AND seq NOT IN (SELECT seq FROM v_supply_priced)"""
 
 
 @query(
     "reject_messages",
-    f"""SELECT topic, partition, seq AS "offset", 'unknown topic' AS reason FROM v_msg WHERE topic = 'material_prices'
+    f"""SELECT topic, partition, "offset", 'unknown topic' AS reason FROM v_msg WHERE topic = 'material_prices'
 UNION ALL {_UNMATCHED}""",
 )
 def reject_messages(i: Inputs) -> DataFrame:
@@ -201,18 +201,18 @@ def reject_messages(i: Inputs) -> DataFrame:
 
 @query(
     "reject_sales_messages",
-    """SELECT seq AS "offset", CASE WHEN seq % 3 = 0 THEN 'bad date' ELSE 'missing field' END AS reason
+    """SELECT partition, "offset", CASE WHEN seq % 3 = 0 THEN 'bad date' ELSE 'missing field' END AS reason
 FROM v_msg WHERE topic = 'sales' AND NOT del AND seq % 3 < 2""",
 )
 def reject_sales_messages(i: Inputs) -> DataFrame:
     """Sales messages, a third of them with a garbled date and a third without cash: the
     inserts among these are rejected, a delete needs neither field."""
-    third = F.col("offset") % 3
+    third = F.col("seq") % 3
     value = F.when(third == 0, F.regexp_replace("value", '"date":"[^"]*"', '"date":"oops"')).when(
         third == 1, F.regexp_replace("value", r'"cash":\[[^\]]*\],', "")
     )
     garbled = i.messages.withColumn("value", F.coalesce(value, "value"))
-    return ch.rejects(ch.parse_topic(garbled, "sales")).select("offset", "reason")
+    return ch.rejects(ch.parse_topic(garbled, "sales")).select("partition", "offset", "reason")
 
 
 @query("unmatched_messages", _UNMATCHED)
@@ -277,6 +277,18 @@ def delete_by_composite_key(i: Inputs) -> DataFrame:
 # -- tables after the messages ------------------------------------------------------------------------------------
 
 
+def _events(i: Inputs) -> DataFrame:
+    """The events behind the messages, by the message's place."""
+    event = F.col("event_id")
+    return i.table("events").select(
+        (event % 2).cast("int").alias("partition"),
+        F.floor(event / 2).cast("bigint").alias("offset"),
+        "event_id",
+        "user_id",
+        F.col("ts").alias("lastUpdate"),
+    )
+
+
 @query(
     "apply_changes",
     """SELECT m.topic, m.user_id, m.seq FROM v_msg m LEFT JOIN (
@@ -285,9 +297,8 @@ WHERE NOT m.del AND (d.dead IS NULL OR m.seq > d.dead)""",
 )
 def apply_changes(i: Inputs) -> DataFrame:
     """The change rule alone, over every topic: the inserts later than the last delete."""
-    events = i.table("events").select("user_id", F.col("event_id").alias("offset"))
-    changes = i.messages.join(events, "offset").select(
-        "topic", "user_id", "seq", (F.col("seq") % 7 == 0).alias("isDeleted")
+    changes = i.messages.join(_events(i), ["partition", "offset"]).select(
+        "topic", "user_id", "seq", (F.col("event_id") % 7 == 0).alias("isDeleted")
     )
     return ch.apply_changes(changes, ["topic", "user_id"]).drop("isDeleted")
 
@@ -299,9 +310,8 @@ def apply_changes(i: Inputs) -> DataFrame:
 WHERE NOT m.del AND (d.dead IS NULL OR m.seq > d.dead) GROUP BY ALL""",
 )
 def apply_changes_upsert(i: Inputs) -> DataFrame:
-    events = i.table("events").select("user_id", F.col("event_id").alias("offset"), F.col("ts").alias("lastUpdate"))
-    changes = i.messages.join(events, "offset").select(
-        "topic", "user_id", "seq", "lastUpdate", (F.col("seq") % 7 == 0).alias("isDeleted")
+    changes = i.messages.join(_events(i), ["partition", "offset"]).select(
+        "topic", "user_id", "seq", "lastUpdate", (F.col("event_id") % 7 == 0).alias("isDeleted")
     )
     return ch.apply_changes(changes, ["topic", "user_id"], "upsert").drop("isDeleted", "lastUpdate")
 
@@ -366,7 +376,7 @@ def join_message_quotes(i: Inputs) -> DataFrame:
 @query(
     "append_message_fields",
     f"""SELECT {_TUPLE}, CAST(strftime(made, '%Y%m%d') AS INTEGER) AS timeId, machine AS trscMachineId,
-  part1 AS trscPartId, made AS timeOfProduction, CAST(seq % 2 AS INTEGER) AS isDamaged, ts AS lastUpdate
+  part1 AS trscPartId, made AS timeOfProduction, CAST(event % 2 AS INTEGER) AS isDamaged, ts AS lastUpdate
 FROM v_supply_priced""",
 )
 def append_message_fields(i: Inputs) -> DataFrame:

@@ -17,7 +17,7 @@ from ..operators import changes as ch
 from ..operators import keys as key_ops
 from ..plans import run, staging
 from ..session import apply_settings, work_dir
-from ..sources.messages import read_message_files
+from ..sources.messages import FILE_OPTIONS, read_message_files
 from ..sources.tables import scan_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,13 +61,16 @@ class Inputs:
 
         def write(path: str) -> None:
             log = fixtures.change_log(self.spark, self.sf_dir)
-            log.repartitionByRange("offset").sortWithinPartitions("offset").write.json(path)
+            log.repartitionByRange(*ch.ORDER).sortWithinPartitions(*ch.ORDER).write.options(**FILE_OPTIONS).json(path)
 
         return self.once("messages", write)
 
     @cached_property
     def messages(self) -> DataFrame:
-        return ch.with_seq(read_message_files(self.spark, self.message_files))
+        """The change log in its order, stored once."""
+        log = read_message_files(self.spark, self.message_files)
+        path = self.once("message-log", lambda path: ch.with_seq(log).write.parquet(path))
+        return self.spark.read.schema(schemas.struct("topic string, partition int, offset bigint, timestamp timestamp_ntz, value string, seq bigint")).parquet(path)
 
     @cached_property
     def bridge(self) -> DataFrame:
@@ -197,5 +200,6 @@ def complete_sql(sql: str) -> str:
     add(sql)
     if not ordered:
         return sql.strip()
-    parts = ",\n".join(f"{n} AS (\n{SUBQUERIES[n]}\n)" for n in ordered)
+    # Written out once: a subquery that is used several times is not computed several times.
+    parts = ",\n".join(f"{n} AS MATERIALIZED (\n{SUBQUERIES[n]}\n)" for n in ordered)
     return f"WITH {parts}\n{sql.strip()}"

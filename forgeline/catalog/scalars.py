@@ -173,19 +173,21 @@ subquery(
     """SELECT CASE WHEN event_id % 50 = 0 THEN 'material_prices' WHEN event_type = 'view' THEN 'part_information'
     WHEN event_type = 'click' THEN 'machine' WHEN event_type = 'signup' THEN 'material'
     WHEN event_type = 'purchase' THEN 'sales' WHEN event_type = 'error' THEN 'supply_chain' END AS topic,
-  CAST(user_id % 2 AS INTEGER) AS partition, event_id AS seq, user_id, event_id % 7 = 0 AS del, ts, value,
+  CAST(event_id % 2 AS INTEGER) AS partition, event_id // 2 AS "offset", event_id AS event,
+  row_number() OVER (ORDER BY ts, topic, event_id % 2, event_id // 2) - 1 AS seq,
+  user_id, event_id % 7 = 0 AS del, ts, value,
   user_id % p.n AS part1, (user_id * 3) % p.n AS part2, user_id % 10 AS machine,
-  CAST(DATE '1995-01-01' + CAST(user_id * 37 % 2500 AS INTEGER) AS DATE) AS made
+  CAST(DATE '1995-01-01' + CAST(user_id * 37 % 2500 + CASE WHEN event_id % 9 = 0 THEN 3000 ELSE 0 END AS INTEGER) AS DATE) AS made
 FROM events, (SELECT count(*) AS n FROM part) p""",
 )
 
 
 @query(
     "split_iso_date",
-    "SELECT seq AS \"offset\", strftime(made, '%Y-%m-%d') AS day_text FROM v_msg WHERE topic = 'supply_chain'",
+    "SELECT seq, strftime(made, '%Y-%m-%d') AS day_text FROM v_msg WHERE topic = 'supply_chain'",
 )
 def split_iso_date(i: Inputs) -> DataFrame:
-    return i.parsed["supply_chain"].select("offset", dates.iso_date_text("timeOfProduction").alias("day_text"))
+    return i.parsed["supply_chain"].select("seq", dates.iso_date_text("timeOfProduction").alias("day_text"))
 
 
 # -- cells and arrays --------------------------------------------------------------------------
@@ -256,12 +258,12 @@ def row_id(i: Inputs) -> DataFrame:
 
 @query(
     "dot_product",
-    """SELECT seq AS "offset", round(round(value) * part1 + (seq % 100) * part2, 2) AS total,
-  round(round(value) + seq % 100, 2) AS cash_sum FROM v_msg WHERE topic = 'sales'""",
+    """SELECT seq, round(round(value) * part1 + (event % 100) * part2, 2) AS total,
+  round(round(value) + event % 100, 2) AS cash_sum FROM v_msg WHERE topic = 'sales'""",
 )
 def dot_product(i: Inputs) -> DataFrame:
     return i.parsed["sales"].select(
-        "offset",
+        "seq",
         F.round(cells.dot_product("cash", "parts"), 2).alias("total"),
         F.round(cells.array_total("cash"), 2).alias("cash_sum"),
     )
@@ -269,15 +271,15 @@ def dot_product(i: Inputs) -> DataFrame:
 
 @query(
     "decode_json_value",
-    "SELECT seq AS \"offset\", user_id AS id, CAST(del AS INTEGER) AS deleted, ts AS updated FROM v_msg WHERE topic = 'machine'",
+    "SELECT seq, user_id AS id, CAST(del AS INTEGER) AS deleted, ts AS updated FROM v_msg WHERE topic = 'machine'",
 )
 def decode_json_value(i: Inputs) -> DataFrame:
-    raw = i.messages.filter("topic = 'machine'").select("offset", F.encode("value", "UTF-8").alias("value"))
+    raw = i.messages.filter("topic = 'machine'").select("seq", F.encode("value", "UTF-8").alias("value"))
     parsed = raw.select(
-        "offset", F.from_json(F.col("value").cast("string"), schemas.message_schema("machine")).alias("m")
+        "seq", F.from_json(F.col("value").cast("string"), schemas.message_schema("machine")).alias("m")
     )
     return parsed.select(
-        "offset",
+        "seq",
         "m.id",
         F.col("m.isDeleted").cast("int").alias("deleted"),
         F.col("m.lastUpdate").try_cast("timestamp_ntz").alias("updated"),
@@ -422,7 +424,7 @@ def filter_key_equals(i: Inputs) -> DataFrame:
 
 @query(
     "pick_message_fields",
-    """SELECT CAST(strftime(made, '%Y%m%d') AS INTEGER) AS timeId, CAST(seq % 2 AS INTEGER) AS isDamaged, ts AS lastUpdate
+    """SELECT CAST(strftime(made, '%Y%m%d') AS INTEGER) AS timeId, CAST(event % 2 AS INTEGER) AS isDamaged, ts AS lastUpdate
 FROM v_msg WHERE topic = 'supply_chain'""",
 )
 def pick_message_fields(i: Inputs) -> DataFrame:

@@ -88,7 +88,11 @@ def part_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change messages: topic, partition, offset and the JSON value."""
+    """Change messages: topic, partition, offset, broker time and the JSON value.
+
+    Messages alternate between two partitions, each with its own offsets from 0 on, so that offsets
+    alone say nothing about their order. Some production dates lie behind the price list.
+    """
     parts = table(spark, sf_dir, "part").select(F.count("*")).scalar()
     user, event = F.col("user_id"), F.col("event_id")
     topic = F.when(event % 50 == 0, F.lit("material_prices")).otherwise(
@@ -107,7 +111,8 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     deleted = (event % 7 == 0).alias("isDeleted")
     updated = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("lastUpdate")
-    made = F.date_add(F.lit("1995-01-01").cast("date"), (user * 37 % 2500).cast("int"))
+    late = F.when(event % 9 == 0, 3000).otherwise(0)
+    made = F.date_add(F.lit("1995-01-01").cast("date"), (user * 37 % 2500 + late).cast("int"))
     value = (
         F.when(
             F.col("topic") == "part_information",
@@ -152,8 +157,9 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("parts", parts)
         .select(
             "topic",
-            (user % 2).cast("int").alias("partition"),
-            event.alias("offset"),
+            (event % 2).cast("int").alias("partition"),
+            F.floor(event / 2).cast("bigint").alias("offset"),
+            F.col("ts").cast("timestamp_ntz").alias("timestamp"),
             value.alias("value"),
         )
     )

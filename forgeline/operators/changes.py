@@ -1,8 +1,8 @@
 """Change messages to table rows, as pure functions over whole sets of messages.
 
-A message log has the columns topic, partition, offset, value and ``seq``, the order of
-arrival (the offset: a producer keeps one key in one partition). Rows loaded before any
-message carry `BEFORE_ALL`.
+A message log has the columns topic, partition, offset, timestamp (the broker's), value and ``seq``, its
+place in the order of arrival. Offsets only compare within one partition, so messages are ordered by
+broker time, then topic, partition and offset. Rows loaded before any message carry `BEFORE_ALL`.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from .aggregates import latest_by_key
 
 BEFORE_ALL = -1
 _NEVER = 2**63 - 1
+ORDER = ["timestamp", "topic", "partition", "offset"]
 _ORIGIN = ["topic", "partition", "offset", "seq", "value"]
 
 
@@ -62,8 +63,11 @@ _REQUIRED = {
 _REQUIRED_OF_INSERTS = {"sales": ["cash"]}
 
 
-def with_seq(messages: DataFrame) -> DataFrame:
-    return messages.withColumn("seq", F.col("offset"))
+def with_seq(messages: DataFrame, first: int = 0) -> DataFrame:
+    """Messages numbered from ``first`` on, across topics and partitions; stored. Messages without a
+    broker time come first. A later call with the next number continues the order: what arrives in a
+    later batch is later."""
+    return key_ops.number_in_order(messages, ORDER, "seq", first)
 
 
 def parse_topic(messages: DataFrame, topic: str) -> DataFrame:

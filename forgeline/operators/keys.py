@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -51,13 +51,53 @@ def number_rows(rows: DataFrame, seq: str, tie: list[str], name: str = "rank", b
     )
 
 
+def number_in_order(rows: DataFrame, order: list[str], name: str, first: int = 0) -> DataFrame:
+    """Number rows from ``first`` on in the order of the columns ``order``, which tell all rows apart.
+
+    Rows are dealt out by range of these columns, so however many share a value of the first of them,
+    tasks have about as many rows each. They are stored with their place in the range; the only step on
+    one task adds up one row per range. Result, stored: the rows and ``name``.
+    """
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Upper bits: the range; lower 33: the place in it.
+    placed = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "in-order")
+    sizes = placed.groupBy(F.shiftright("_at", 33).alias("_range")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+    numbered = placed.join(F.broadcast(starts), F.shiftright("_at", 33) == F.col("_range")).withColumn(
+        name, F.lit(first) + F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    )
+    return numbered.drop("_at", "_range", "_start")
+
+
 def known_keys(dim: DataFrame, trsc: str, key: str) -> DataFrame:
     """One id per transactional id of a table that may hold several versions of it."""
     return dim.filter(F.col(trsc).isNotNull()).groupBy(trsc).agg(F.min(key).alias(key))
 
 
+def key_bucket(trsc: str, buckets: int) -> Column:
+    """The bucket of the key index that a transactional id belongs to."""
+    return F.pmod(F.xxhash64(trsc), F.lit(buckets)).cast("int")
+
+
+def first_seen(seen: DataFrame, trsc: str) -> DataFrame:
+    """Each transactional id in ``seen`` (columns ``trsc``, ``seq``) with its first use and number of uses, stored."""
+    first = (
+        seen.filter(F.col(trsc).isNotNull())
+        .groupBy(trsc)
+        .agg(F.min("seq").alias("seq"), F.count("*").alias("_rows"))
+    )
+    return materialize(first, "first-seen")
+
+
 def assign_surrogate_keys(known: DataFrame, seen: DataFrame, trsc: str, key: str) -> DataFrame:
-    """The id of every transactional id in ``seen`` (columns ``trsc``, ``seq``).
+    """The id of every transactional id in ``seen`` (columns ``trsc``, ``seq``), see `assign_ids`."""
+    highest = known.select(F.coalesce(F.max(key), F.lit(0))).scalar()
+    return assign_ids(known, first_seen(seen, trsc), trsc, key, highest)
+
+
+def assign_ids(known: DataFrame, first: DataFrame, trsc: str, key: str, highest: int | Column) -> DataFrame:
+    """The id of every transactional id of `first_seen`; ``highest`` is the highest id given so far.
 
     Known ids stay; unknown ones are numbered above the highest known id in the order they
     were first seen, so the result does not depend on how the stream was cut into batches.
@@ -65,17 +105,14 @@ def assign_surrogate_keys(known: DataFrame, seen: DataFrame, trsc: str, key: str
     long as ``known`` keeps it. Result, stored: ``trsc``, ``key``, ``isNew`` and ``_rows``, the
     times the id was seen.
     """
-    first = (
-        seen.filter(F.col(trsc).isNotNull())
-        .groupBy(trsc)
-        .agg(F.min("seq").alias("seq"), F.count("*").alias("_rows"))
-    )
-    highest = known.select(F.coalesce(F.max(key), F.lit(0))).scalar()
+    # The known ids are only looked through for the few that are asked for: while those fit a
+    # broadcast, the known ones are not shuffled.
+    found = materialize(known.select(trsc, key).join(first.select(trsc), trsc), "known")
     # Numbering reads its input several times.
-    looked_up = materialize(first.join(known.select(trsc, key), trsc, "left"), "keys")
+    looked_up = materialize(first.join(found, trsc, "left"), "keys")
     old = looked_up.filter(F.col(key).isNotNull())
     new = number_rows(looked_up.filter(F.col(key).isNull()).drop(key), "seq", [trsc]).withColumn(
-        key, F.col("rank") + highest
+        key, (F.col("rank") + highest).cast("bigint")
     )
     ids = old.select(trsc, key, F.lit(False).alias("isNew"), "_rows").unionByName(
         new.select(trsc, key, F.lit(True).alias("isNew"), "_rows")

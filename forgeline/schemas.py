@@ -153,6 +153,6 @@ def message_schema(topic: str) -> T.StructType:
 
 
 MACHINE_LOG = struct("order bigint, partId bigint, machineId bigint, timeOfProduction bigint, var5 int")
-MESSAGE_LOG = struct("topic string, partition int, offset bigint, value string")
+MESSAGE_LOG = struct("topic string, partition int, offset bigint, timestamp timestamp_ntz, value string")
 PART_REFERENCE = struct("id bigint, timeToProduce double, defaultPrice double, meterials string, machine string")
 MATERIAL_SHEET = struct("id bigint, name string, prices string")

@@ -1,6 +1,8 @@
 """The change rule, message parsing and the streaming job."""
 
 import json
+import re
+from datetime import datetime, timedelta
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 
 from forgeline import schemas
 from forgeline.operators import changes as ch
-from forgeline.sources.messages import read_message_files, stream_message_files
+from forgeline.operators import keys
+from forgeline.sources.messages import FILE_OPTIONS, read_message_files, stream_message_files
 from forgeline.streaming import messages as job
 from forgeline.streaming.refresh import refresh_after_changes, touched_tables
 
@@ -61,9 +64,33 @@ def test_null_keys_match_no_delete(spark):
 
 
 def messages(spark, rows):
-    schema = "topic string, `partition` int, `offset` bigint, value string"
-    data = [(t, 0, n, v if isinstance(v, str) or v is None else json.dumps(v)) for n, (t, v) in enumerate(rows)]
-    return spark.createDataFrame(data, schema)
+    """Messages that arrive a second apart."""
+    start = datetime(2024, 1, 1)
+    data = [
+        (t, 0, n, start + timedelta(seconds=n), v if isinstance(v, str) or v is None else json.dumps(v))
+        for n, (t, v) in enumerate(rows)
+    ]
+    return spark.createDataFrame(data, schemas.MESSAGE_LOG)
+
+
+def test_order_goes_across_partitions(spark):
+    """Offsets overlap between topics and partitions; many messages share a broker time."""
+    start = datetime(2024, 1, 1)
+    rows = [(t, p, n, start + timedelta(seconds=n // 3), "") for t in "ab" for p in (0, 1) for n in range(40)]
+    want = {r[:3]: n for n, r in enumerate(sorted(rows, key=lambda r: (r[3], *r[:3])), 10)}
+    log = spark.createDataFrame(rows[::-1], schemas.MESSAGE_LOG)
+    for parts in (1, 7):
+        got = ch.with_seq(log.repartition(parts), 10).collect()
+        assert {(r.topic, r.partition, r.offset): r.seq for r in got} == want
+    assert ch.with_seq(log.limit(0)).count() == 0
+
+
+def test_a_late_delete_of_another_partition_wins_by_time(spark):
+    """The delete has the smaller offset, but it came later."""
+    start = datetime(2024, 1, 1)
+    rows = [("machine", 0, 9, start, '{"id": 4}'), ("machine", 1, 2, start + timedelta(seconds=1), '{"id": 4, "isDeleted": true}')]
+    parsed = ch.parse_topic(ch.with_seq(spark.createDataFrame(rows, schemas.MESSAGE_LOG)), "machine")
+    assert ch.apply_changes(parsed, ["id"]).count() == 0
 
 
 def test_reasons(spark):
@@ -166,11 +193,12 @@ def streamed(spark, small, tmp_path_factory):
     base = tmp_path_factory.mktemp("stream")
     root, source, checkpoint = str(base / "root"), str(base / "in"), str(base / "checkpoint")
     job.initialize(spark, root, {t: small.ods(t) for t in job.TABLE_KEYS})
-    log = small.messages.drop("seq")
-    highest = log.agg(F.max("offset")).collect()[0][0]
+    log = small.messages
+    highest = log.agg(F.max("seq")).collect()[0][0]
     cuts = [0, highest // 3, highest // 2, highest + 1]
     for start, end in zip(cuts, cuts[1:], strict=False):
-        log.filter(F.col("offset").between(start, end - 1)).coalesce(1).write.mode("append").json(source)
+        part = log.filter(F.col("seq").between(start, end - 1)).drop("seq")
+        part.coalesce(1).write.mode("append").options(**FILE_OPTIONS).json(source)
         stream = stream_message_files(spark, source, files_per_batch=1)
         job.stream_to_tables(stream, root, checkpoint, available_now=True).awaitTermination()
     return root
@@ -198,13 +226,83 @@ def test_every_message_is_used_or_rejected(spark, small, streamed):
 def test_a_repeated_batch_changes_nothing(spark, small, streamed):
     before = {t: table_rows(job.current_table(spark, streamed, t)) for t in job.TABLE_KEYS}
     rejected = table_rows(job.rejected(spark, streamed))
-    highest = small.messages.agg(F.max("offset")).collect()[0][0]
-    last = small.messages.drop("seq").filter(F.col("offset") >= highest // 2)
+    highest = small.messages.agg(F.max("seq")).collect()[0][0]
+    last = small.messages.filter(F.col("seq") >= highest // 2).drop("seq")
     job.process_batch(last, 2, streamed)
     assert {t: table_rows(job.current_table(spark, streamed, t)) for t in job.TABLE_KEYS} == before
     assert table_rows(job.rejected(spark, streamed)) == rejected
 
 
+def plan_of(df):
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def states(spark, root):
+    return {t: table_rows(job.current_table(spark, root, t)) for t in job.TABLE_KEYS} | {"rejects": table_rows(job.rejected(spark, root))}
+
+
+@pytest.mark.parametrize("fails_at", ["changes/dim_machine", "commits"])
+def test_a_batch_killed_between_two_writes_is_not_seen(spark, small, streamed, tmp_path, monkeypatch, fails_at):
+    """Readers keep the state before it, and the same batch tried again gives what an unharmed one gives."""
+    root = str(tmp_path / "root")
+    job.compact(spark, streamed, root)
+    before = states(spark, root)
+    batch = messages(spark, [
+        ("machine", {"id": 10_001, "lastUpdate": "2024-03-01T00:00:00"}),
+        ("part_information", {"id": 10_002, "timeToProduce": "3", "lastUpdate": "2024-03-01T00:00:00"}),
+        ("supply_chain", {"machineId": 1, "partId": 1, "timeOfProduction": "1996-05-01T00:00:00", "var5": 1}),
+        ("supply_chain", {"machineId": 1, "partId": 1, "timeOfProduction": "1996-05-01T00:00:00", "var5": 1, "isDeleted": True}),
+        ("material_prices", {"id": 3}),
+    ])
+    whole = job.append_batch
+
+    def failing(df, path, batch_id, by=None):
+        if path.endswith(fails_at):
+            raise RuntimeError("killed")
+        whole(df, path, batch_id, by)
+
+    monkeypatch.setattr(job, "append_batch", failing)
+    with pytest.raises(RuntimeError, match="killed"):
+        job.process_batch(batch, 7, root)
+    assert states(spark, root) == before
+    monkeypatch.setattr(job, "append_batch", whole)
+    job.process_batch(batch, 7, root)
+    after = states(spark, root)
+    assert after != before and job.last_commit(spark, root)["batch_id"] == 7
+    clean = str(tmp_path / "clean")
+    job.compact(spark, streamed, clean)
+    job.process_batch(batch, 7, clean)
+    assert states(spark, clean) == after
+
+
+def test_the_quotes_held_are_those_of_the_fact(spark, streamed):
+    """The stored quotes after several batches are the fact's rows; only the buckets asked for are read."""
+    end = job.last_commit(spark, streamed)["batch_id"] + 1
+    every = job.held_quotes(spark, streamed, list(range(job.BUCKETS)), end)
+    fact = job.current_table(spark, streamed, "fact_supply_chain").select(*job.QUOTES.fieldNames()).distinct()
+    assert table_rows(every) == table_rows(fact)
+    asked = [3, 5]
+    some = job.held_quotes(spark, streamed, asked, end)
+    assert re.search(r"PartitionFilters: \[.*batch_id#\d+L? = .*bucket#\d+ (IN \([35](,5)?\)|= [35])", plan_of(some))
+    bucket = keys.key_bucket("trscPartId", job.BUCKETS)
+    assert table_rows(some) == table_rows(fact.filter(bucket.isin(asked)))
+
+
+def test_the_key_log_is_not_shuffled(spark, streamed):
+    """A batch looks its ids up in the buckets of these, without a shuffle of the ids known."""
+    end = job.last_commit(spark, streamed)["batch_id"] + 1
+    seen = spark.createDataFrame([(n, n) for n in (1, 2, 99_999)], "trscPartId bigint, seq bigint")
+    first = keys.first_seen(seen, "trscPartId")
+    known = job.known_ids(spark, streamed, "partId", end, first)
+    assert re.search(r"PartitionFilters: \[.*bucket#\d+ IN", plan_of(known))
+    joined = known.join(first.select("trscPartId"), "trscPartId")
+    assert "hashpartitioning" not in plan_of(joined) and "BroadcastExchange" in plan_of(joined)
+    highest = job.last_commit(spark, streamed)["partId"]
+    got = {r.trscPartId: (r.partId, r.isNew) for r in keys.assign_ids(known, first, "trscPartId", "partId", highest).collect()}
+    assert got == {1: (1, False), 2: (2, False), 99_999: (highest + 1, True)}
+
+
 def test_refresh_and_compact(spark, streamed, tmp_path):
     assert touched_tables(spark, streamed, since=0) == sorted(
         ["dim_contract", "dim_machine", "dim_material", "dim_part_information", "fact_sales", "fact_supply_chain"]
