@@ -12,6 +12,7 @@ from ..operators import changes as ch
 from ..operators import joins
 from ..plans import marts
 from .registry import Inputs, query, subquery
+from .subqueries import MART_SALES, MART_SUPPLY
 
 # -- the same in SQL: messages by topic, ids, table states -----------------------------------------
 
@@ -164,6 +165,47 @@ LEFT JOIN (SELECT machine, part1, made, max(seq) AS dead FROM v_msg WHERE topic
 WHERE d.dead IS NULL OR c.seq > d.dead""",
 )
 
+# -- the tables as loaded, after the messages, and as reported ----------------------------------------
+
+_BY_TABLE = {
+    "dim_machine": "machine", "dim_material": "material", "dim_part_information": "part",
+    "dim_contract": "contract", "fact_sales": "sales", "fact_supply_chain": "supply",
+}
+_DIM_KEYS = {"machine": "trscMachineId", "material": "trscMaterialId", "part": "trscPartId", "contract": "trscContractId"}
+CALENDAR = """SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS timeId, date, CAST(year(date) AS INTEGER) AS year,
+  CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day,
+  CASE WHEN quarter(date) IN (1, 2) THEN 1 ELSE 2 END AS semester, CAST(quarter(date) AS INTEGER) AS quarter FROM v_calendar"""
+
+
+def loaded_sources() -> dict[str, tuple]:
+    """The operational tables as the batch run loads them, per table a statement and its schema."""
+    found = {t: f"SELECT * EXCLUDE (seq, del) FROM v_{n}_changes WHERE seq = -1" for t, n in _BY_TABLE.items()}
+    return _with_schemas(found | {"dim_time": CALENDAR}, "ods")
+
+
+def changed_sources() -> dict[str, tuple]:
+    """The operational tables after all messages."""
+    return _with_schemas({t: f"SELECT * FROM v_{n}_after" for t, n in _BY_TABLE.items()}, "ods")
+
+
+def reported_sources(after: bool) -> dict[str, tuple]:
+    """The reporting tables; after the messages a dimension holds the newest row of each entity."""
+    end, fact = ("_after", "v_supply_after") if after else ("", "v_fact")
+    found = {}
+    for table, name in _BY_TABLE.items():
+        if table.startswith("dim_"):
+            newest = _state(f"v_{name}_changes", [_DIM_KEYS[name]], upsert=True)
+            found[table] = newest if after else f"SELECT * FROM v_{name}_changes WHERE seq = -1"
+    found["fact_sales"] = MART_SALES.format(inputs=f"v_margin_inputs{end}")
+    found["fact_supply_chain"] = f"SELECT * FROM ({MART_SUPPLY.format(fact=fact)}) WHERE GarbageProduction > 0"
+    if not after:
+        found["dim_time"] = CALENDAR
+    return _with_schemas(found, "dwh")
+
+
+def _with_schemas(found: dict[str, str], layer: str) -> dict[str, tuple]:
+    return {t: (sql, schemas.table_schema(t, layer)) for t, sql in found.items()}
+
 
 # -- routing and rejecting --------------------------------------------------------------------------
 

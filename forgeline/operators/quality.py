@@ -20,6 +20,20 @@ def check_unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter("copies > 1")
 
 
+def key_violations(df: DataFrame, required: list[str], key: list[str] | None = None) -> DataFrame:
+    """(check, key, rows): columns of ``required`` with NULLs and how many, and the values of ``key`` that
+    repeat and how often. A key with a NULL in it repeats nothing, as in SQL."""
+    nulls = check_not_null(df, required).select(
+        F.lit("not null").alias("check"), F.col("column").alias("key"), F.col("nulls").alias("rows")
+    )
+    if not key:
+        return nulls
+    whole = df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]))
+    repeated = check_unique_key(whole, key)
+    name = F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in key])
+    return nulls.unionByName(repeated.select(F.lit("unique").alias("check"), name.alias("key"), F.col("copies").alias("rows")))
+
+
 def check_foreign_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows per reference whose key is missing in its dimension: (key, orphans)."""
     from .joins import orphans

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..session import run_together
+from ..operators.quality import key_violations
+from ..session import materialize, run_together
+from .contents import contents
 
 
 def _versions(spark: SparkSession, root: str, committed: bool) -> list[int]:
@@ -28,14 +30,64 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return versions[-1] if versions else None
 
 
-def full_refresh(df: DataFrame, root: str) -> int:
+def full_refresh(df: DataFrame, root: str, keep: int | None = None) -> int:
     """Publish ``df`` as the next version and return its number. ``df`` may read the version
-    it replaces; a failed write leaves the old one in place."""
-    version = max(_versions(df.sparkSession, root, committed=False), default=0) + 1
+    it replaces; a failed write leaves the old one in place. With ``keep``, only so many of the
+    newest versions stay; a reader has as long to finish as it takes to publish them."""
+    spark = df.sparkSession
+    version = max(_versions(spark, root, committed=False), default=0) + 1
     df.write.mode("errorifexists").parquet(f"{root}/version={version}")
+    if keep is not None:
+        for old in _versions(spark, root, committed=True)[:-keep]:
+            _delete(spark, f"{root}/version={old}")
     return version
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+class Refused(ValueError):
+    """A table was not published; ``path`` holds the violations."""
+
+    def __init__(self, root: str, path: str, found: list):
+        super().__init__(f"{root} keeps its version, see {path}: {[row.asDict() for row in found]}")
+        self.path = path
+
+
+def checked_refresh(df: DataFrame, root: str, required: list[str], key: list[str] | None = None, refuse: bool = True) -> int:
+    """Publish ``df`` as `full_refresh` does once its columns ``required`` hold no NULL and its rows tell
+    ``key`` apart.
+
+    The rows are staged and checked as they were written. Violations go to ``violations`` of the same number
+    beside the versions: (check, key, rows), one row per column with NULLs and per repeated key. With
+    ``refuse`` any of them raises `Refused` and readers keep the version they have; otherwise they are
+    only noted.
+    """
+    spark = df.sparkSession
+    staged = materialize(df, "staged")
+    version = max(_versions(spark, root, committed=False), default=0) + 1
+    path = f"{root}/violations/version={version}"
+    key_violations(staged, required, key).write.mode("overwrite").parquet(path)
+    found = spark.read.parquet(path).limit(5).collect()
+    if found and refuse:
+        raise Refused(root, path, found)
+    return full_refresh(staged, root)
+
+
+def checked_load(tables: dict[str, DataFrame], root: str, refuse: bool = True) -> dict[str, int]:
+    """`checked_refresh` of reporting tables with the keys they declare, dimensions first: a table that is
+    refused keeps the later ones from being published."""
+    names = [n for n in schemas.TABLE_NAMES if n in tables]
+    return {n: checked_refresh(tables[n], f"{root}/{n}", schemas.KEYS[n], schemas.KEYS[n], refuse) for n in names}
+
+
+def read_violations(spark: SparkSession, root: str) -> DataFrame:
+    """All violations noted for a table, with the version they were found in."""
+    return spark.read.option("basePath", f"{root}/violations").parquet(f"{root}/violations")
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
@@ -55,46 +107,25 @@ def load_star_schema(tables: dict[str, DataFrame], root: str, replace: bool = Fa
             run_together(tables[names[0]].sparkSession, [partial(write, n) for n in names])
 
 
-def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table, rows, checksum). The checksum adds up a hash per row, so neither the order of
-    the rows nor the number of files matters."""
-    parts = [
-        df.agg(
-            F.count("*").alias("rows"),
-            F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-            .cast("string")
-            .alias("checksum"),
-        ).select(F.lit(name).alias("table"), "rows", "checksum")
-        for name, df in tables.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def snapshot_tables(tables: dict[str, DataFrame], root: str, label: str) -> DataFrame:
-    """Copy tables to ``root/label`` with a manifest taken from what was written."""
+    """Copy tables to ``root/label`` with a manifest of their contents, taken from what was written."""
     spark = next(iter(tables.values())).sparkSession
     base = f"{root}/{label}"
     run_together(
         spark, [partial(df.write.mode("errorifexists").parquet, f"{base}/{n}") for n, df in tables.items()]
     )
-    manifest({n: spark.read.parquet(f"{base}/{n}") for n in tables}).write.parquet(f"{base}/_manifest")
+    contents({n: spark.read.parquet(f"{base}/{n}") for n in tables}).write.parquet(f"{base}/_manifest")
     return spark.read.parquet(f"{base}/_manifest")
 
 
 def verify_snapshot(spark: SparkSession, root: str, label: str, names: list[str]) -> DataFrame:
-    """(table, rows, intact) of a snapshot: what is there against what was noted."""
+    """(table, rows, intact) of a snapshot: what is there against what was noted, column by column."""
     base = f"{root}/{label}"
     noted = spark.read.parquet(f"{base}/_manifest")
-    now = manifest({n: spark.read.parquet(f"{base}/{n}") for n in names})
+    now = contents({n: spark.read.parquet(f"{base}/{n}") for n in names})
     same = (F.col("n.rows") == F.col("m.rows")) & (F.col("n.checksum") == F.col("m.checksum"))
-    return (
-        noted.alias("m")
-        .join(now.alias("n"), "table", "left")
-        .select("table", F.col("m.rows").alias("rows"), F.coalesce(same, F.lit(False)).alias("intact"))
-    )
+    both = noted.alias("m").join(now.alias("n"), ["table", "column"], "full")
+    return both.groupBy("table").agg(F.max("m.rows").alias("rows"), F.min(F.coalesce(same, F.lit(False))).alias("intact"))
 
 
 def restore_snapshot(spark: SparkSession, root: str, label: str, names: list[str], target: str) -> DataFrame:
