@@ -294,7 +294,7 @@ def test_the_key_log_is_not_shuffled(spark, streamed):
     end = job.last_commit(spark, streamed)["batch_id"] + 1
     seen = spark.createDataFrame([(n, n) for n in (1, 2, 99_999)], "trscPartId bigint, seq bigint")
     first = keys.first_seen(seen, "trscPartId")
-    known = job.known_ids(spark, streamed, "partId", end, first)
+    known = job.known_ids(spark, streamed, "partId", end, job.buckets_of(first, "trscPartId", job.BUCKETS))
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ IN", plan_of(known))
     joined = known.join(first.select("trscPartId"), "trscPartId")
     assert "hashpartitioning" not in plan_of(joined) and "BroadcastExchange" in plan_of(joined)
