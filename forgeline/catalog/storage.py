@@ -261,6 +261,10 @@ def scan_files_recursive(i: Inputs) -> DataFrame:
     return tree.groupBy("folder").agg(F.sum("n").alias("rows"), F.sum("length").alias("bytes"))
 
 
+# Bytes of a chunk here, so that larger files are read in ranges.
+_CHUNK = 1 << 16
+
+
 @query(
     "archive_new_files",
     """SELECT CASE WHEN var5 = 1 THEN 'damaged' ELSE 'good' END AS folder,
@@ -271,12 +275,11 @@ def archive_new_files(i: Inputs) -> DataFrame:
     the log rows the archive holds, by folder and by what the second run did with their file."""
     root, store = i.work_dir("landing"), i.work_dir("archive")
     i.log.filter("var5 = 1").write.option("header", True).csv(f"{root}/damaged")
-    archive.archive_new_files(i.spark, root, store)
+    archive.archive_new_files(i.spark, root, store, chunk=_CHUNK)
     i.log.filter("var5 = 0").write.option("header", True).csv(f"{root}/good")
-    report = archive.archive_new_files(i.spark, root, store)
-    # A header line, the rows, and what follows the last line break.
-    rows = F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 2
-    held = i.spark.read.parquet(f"{store}/files").select("name", rows.alias("n"))
+    report = archive.archive_new_files(i.spark, root, store, chunk=_CHUNK)
+    # A line break behind each row and the header.
+    held = archive.read_archive(i.spark, store).groupBy("name").agg((F.sum(archive.line_breaks("content")) - 1).alias("n"))
     folder = F.substring_index("name", "/", 1).alias("folder")
     return report.join(held, "name").groupBy(folder, "status").agg(F.sum("n").alias("rows"))
 

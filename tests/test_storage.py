@@ -160,10 +160,25 @@ def test_archive(spark, tmp_path):
     assert first == {"a/same.csv": "archived", "b/same.csv": "archived"}
     (root / "big.csv").write_text("x" * 50)
     (root / "c.csv").write_text("3")
-    again = {r.name: r.status for r in archive.archive_new_files(spark, str(root), store, largest=10).collect()}
-    assert again == {"a/same.csv": "kept", "b/same.csv": "kept", "big.csv": "too large", "c.csv": "archived"}
-    kept = {r.name: bytes(r.content) for r in spark.read.parquet(f"{store}/files").collect()}
-    assert kept == {"a/same.csv": b"1", "b/same.csv": b"22", "c.csv": b"3"}
+    (root / "odd [1] {x}*.csv").write_text("4")
+    (root / "a" / "same.csv").chmod(0)  # what is kept is not opened again
+    again = {r.name: r.status for r in archive.archive_new_files(spark, str(root), store, chunk=16).collect()}
+    new = {"big.csv": "archived", "c.csv": "archived", "odd [1] {x}*.csv": "archived"}
+    assert again == {"a/same.csv": "kept", "b/same.csv": "kept"} | new
+    rows = sorted((r.name, r.chunk, r.chunks, bytes(r.content)) for r in archive.read_archive(spark, store).collect())
+    assert [r[1:] for r in rows if r[0] == "big.csv"] == [(k, 4, b"x" * (16 if k < 3 else 2)) for k in range(4)]
+    whole = {n: b"".join(r[3] for r in rows if r[0] == n) for n in again}
+    assert whole == {"a/same.csv": b"1", "b/same.csv": b"22", "big.csv": b"x" * 50, "c.csv": b"3", "odd [1] {x}*.csv": b"4"}
+
+
+def test_an_archive_run_without_a_report_does_not_count(spark, tmp_path):
+    root, store = tmp_path / "in", str(tmp_path / "archive")
+    root.mkdir()
+    (root / "a.csv").write_text("1")
+    spark.createDataFrame([], archive.FILES).write.parquet(f"{store}/files/run=1")
+    for status in ("archived", "kept"):
+        assert [(r.name, r.status) for r in archive.archive_new_files(spark, str(root), store).collect()] == [("a.csv", status)]
+    assert archive.read_archive(spark, store).count() == 1
 
 
 def test_connector_options():
