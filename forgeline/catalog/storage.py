@@ -298,9 +298,13 @@ def _workbook(header: list[str], rows: list[list[str]]) -> bytes:
         )
         return f'<row r="{number}">{body}</row>'
 
+    return _packed("".join(row(n, cells) for n, cells in enumerate([header, *rows], start=1)), {})
+
+
+def _packed(sheet: str, more: dict[str, str]) -> bytes:
+    """A workbook of one sheet from the XML of its rows, with the parts ``more`` beside it."""
     main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    sheet = "".join(row(n, cells) for n, cells in enumerate([header, *rows], start=1))
     out = BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
         book.writestr(
@@ -313,6 +317,8 @@ def _workbook(header: list[str], rows: list[list[str]]) -> bytes:
             f'<Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
         )
         book.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>{sheet}</sheetData></worksheet>")
+        for name, body in more.items():
+            book.writestr(name, body.format(main=main))
     return out.getvalue()
 
 
@@ -341,6 +347,47 @@ def scan_workbook(i: Inputs) -> DataFrame:
     return part_sheet(part_workbooks(i), _SHEET)
 
 
+def order_workbooks(i: Inputs) -> DataFrame:
+    """The orders as workbooks of 500 each, as a spreadsheet program writes them: day numbers shown as dates,
+    shared strings, flags, and rows and cells that do not say where they are."""
+    orders = i.table("orders").select(
+        F.floor(F.col("o_orderkey") / _ROWS_PER_BOOK).cast("bigint").alias("book"),
+        "o_orderkey",
+        F.date_diff(F.col("o_orderdate").cast("date"), F.lit("1899-12-30").cast("date")).alias("day"),
+        "o_totalprice",
+        "o_orderpriority",
+        (F.col("o_orderpriority") < "3").cast("int").alias("urgent"),
+    )
+    header = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority", "urgent"]
+    styles = '<styleSheet {main}><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs></styleSheet>'
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        names = header + sorted(set(rows["o_orderpriority"]))
+        place = {name: at for at, name in enumerate(names)}
+        sheet = "<row>" + "".join(f'<c t="s"><v>{place[name]}</v></c>' for name in header) + "</row>"
+        for r in rows.itertuples():
+            sheet += f'<row><c><v>{r.o_orderkey}</v></c><c s="1"><v>{r.day}</v></c><c><v>{r.o_totalprice!r}</v></c>'
+            sheet += f'<c t="s"><v>{place[r.o_orderpriority]}</v></c><c t="b"><v>{r.urgent}</v></c></row>'
+        shared = "".join(f"<si><t>{escape(name)}</t></si>" for name in names)
+        more = {"xl/styles.xml": styles, "xl/sharedStrings.xml": "<sst {main}>" + shared + "</sst>"}
+        return pd.DataFrame({"path": [f"orders-{rows['book'].iloc[0]}.xlsx"], "content": [_packed(sheet, more)]})
+
+    packed = orders.groupBy("book").applyInPandas(pack, "path string, content binary")
+    path = i.once("order-workbooks", packed.write.parquet)
+    return i.spark.read.schema(packed.schema).parquet(path)
+
+
+@query(
+    "scan_workbook_inferred",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderpriority,
+  CAST(o_orderpriority < '3' AS INTEGER) AS urgent FROM orders""",
+)
+def scan_workbook_inferred(i: Inputs) -> DataFrame:
+    """Columns and types come from the cells alone."""
+    rows = workbooks.inferred_sheet(order_workbooks(i))
+    return rows.withColumn("urgent", F.col("urgent").cast("int"))
+
+
 @query(
     "empty_sheet",
     """SELECT 'Part Information' AS sheet, count(*) AS "rows", min(id) AS first FROM v_part_raw

@@ -92,6 +92,39 @@ def test_workbooks(spark, tmp_path):
     assert empty.count() == 0 and empty.schema.fieldNames() == ["id", "name", "prices"]
 
 
+def test_workbook_types_are_inferred(spark, tmp_path):
+    """Day numbers by built-in and own formats, both calendars, flags, errors, mixed columns, missing places."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    head = "<row>" + "".join(f'<c t="inlineStr"><is><t>{n}</t></is></c>' for n in ("day", "time", "n", "x", "flag", "mix", "none")) + "</row>"
+    styles = (
+        f'<styleSheet {main}><numFmts><numFmt numFmtId="170" formatCode="yyyy\\-mm\\-dd hh:mm"/>'
+        '<numFmt numFmtId="171" formatCode="[Red]0.0&quot;days&quot;"/></numFmts>'
+        '<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>'
+    )
+    one = (
+        '<row><c s="1"><v>45292</v></c><c s="2"><v>45292.25</v></c><c><v>7</v></c><c s="3"><v>1.5</v></c>'
+        '<c t="b"><v>1</v></c><c><v>3</v></c><c t="e"><v>#N/A</v></c></row>'
+        '<row r="9"><c s="1"><v>59</v></c><c r="C9"><v>8</v></c></row>'
+    )
+    two = '<row><c s="1"><v>0</v></c><c/><c/><c><v>2</v></c><c t="b"><v>0</v></c><c t="str"><v>text</v></c></row>'
+    xlsx(tmp_path / "one.xlsx", {"S": head + one})
+    xlsx(tmp_path / "two.xlsx", {"S": head + two})
+    for name in ("one", "two"):
+        with zipfile.ZipFile(tmp_path / f"{name}.xlsx", "a") as book:
+            book.writestr("xl/styles.xml", styles)
+    got = workbooks.scan_workbook(spark, str(tmp_path), sheet="S")
+    kinds = {"day": "date", "flag": "boolean", "mix": "string", "n": "bigint", "time": "timestamp_ntz", "x": "double"}
+    assert dict(got.dtypes) == kinds
+    rows = {tuple(None if v is None else str(v) for v in r) for r in got.collect()}
+    assert rows == {
+        ("2024-01-01", "True", "3", "7", "2024-01-01 06:00:00", "1.5"),
+        ("1900-02-28", None, None, "8", None, None),
+        ("1899-12-31", "False", "text", None, None, "2.0"),
+    }
+    assert workbooks._from_serial(0.5, True) == ("timestamp", "1904-01-01 12:00:00")
+    assert workbooks.scan_workbook(spark, str(tmp_path), sheet="none").columns == []
+
+
 def test_partition_overwrite_leaves_the_others(spark, tmp_path):
     df = spark.range(100).select("id", (F.col("id") % 4).cast("int").alias("g"))
     parquet.write_parquet_partitioned(df, str(tmp_path / "t"), ["g"])
