@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregates, joins, quality
 from ..operators.keys import number_rows
 from ..plans import marts, staging
+from ..session import materialize
 from .registry import Inputs, query
 
 # -- joins ---------------------------------------------------------------------------------
@@ -41,11 +42,13 @@ def join_machine_dim(i: Inputs) -> DataFrame:
     return joins.keep_known(i.log, i.ods("dim_machine"), "machineId").select(i.log.columns)
 
 
-@query("orphan_rows", "SELECT * FROM v_log WHERE (partId, machineId) NOT IN (SELECT (partId, machineId) FROM v_bridge WHERE partId % 2 = 0)")
+@query(
+    "orphan_rows",
+    """SELECT * FROM v_log WHERE (partId, machineId) NOT IN (SELECT (part1, machine) FROM v_msg WHERE topic = 'supply_chain')""",
+)
 def orphan_rows(i: Inputs) -> DataFrame:
-    """Log rows whose machine is not among the machines of their part, with a bridge that lists
-    every other part (the whole one has no orphans)."""
-    links = i.bridge.where("partId % 2 = 0").select(F.struct("partId", "machineId").alias("link"))
+    """Log rows whose machine is not among those that the supply-chain messages name for their part."""
+    links = i.supply_rows.select(F.struct(F.col("trscPartId").alias("partId"), F.col("trscMachineId").alias("machineId")).alias("link"))
     rows = i.log.withColumn("link", F.struct("partId", "machineId"))
     return joins.orphans(rows, links, "link").select(i.log.columns)
 
@@ -86,10 +89,9 @@ def join_quantity_parts(i: Inputs) -> DataFrame:
 FROM (SELECT * REPLACE (CAST(maxYear AS INTEGER) AS maxYear) FROM v_order_parts) o JOIN v_order_cash c USING ("order")""",
 )
 def join_using_order(i: Inputs) -> DataFrame:
-    stats = aggregates.order_part_stats(i.log)
-    cash = aggregates.order_cash(stats, i.bridge)
-    weights = stats.groupBy("order").agg(F.count("*").alias("_rows"))
-    joined = joins.join_to_groups(stats, cash.join(weights, "order"), ["order"], "_rows", ["partId"])
+    stats = materialize(aggregates.order_part_stats(i.log), "order-parts")
+    cash = aggregates.order_cash(stats, i.bridge, weight="_rows")
+    joined = joins.join_to_groups(stats, cash, ["order"], "_rows", ["partId"])
     return joined.select("order", "partId", "maxYear", F.round("cash", 2).alias("cash"))
 
 
@@ -139,7 +141,7 @@ def max_year_order_part(i: Inputs) -> DataFrame:
 
 @query("sum_order_cash", 'SELECT "order", round(cash, 2) AS cash FROM v_order_cash')
 def sum_order_cash(i: Inputs) -> DataFrame:
-    cash = aggregates.order_cash(aggregates.order_part_stats(i.log), i.bridge)
+    cash = aggregates.order_cash(materialize(aggregates.order_part_stats(i.log), "order-parts"), i.bridge)
     return cash.withColumn("cash", F.round("cash", 2))
 
 
@@ -150,7 +152,8 @@ FROM v_order_parts o JOIN part p ON o.partId = p.p_partkey
 WHERE p.p_partkey IN (SELECT partId FROM v_bridge) GROUP BY o."order\"""",
 )
 def sum_order_cash_deduped(i: Inputs) -> DataFrame:
-    cash = aggregates.order_cash(aggregates.order_part_stats(i.log), i.bridge, dedupe_parts=True)
+    stats = materialize(aggregates.order_part_stats(i.log), "order-parts")
+    cash = aggregates.order_cash(stats, i.bridge, dedupe_parts=True)
     return cash.withColumn("cash", F.round("cash", 2))
 
 
@@ -241,16 +244,21 @@ def sort_machine(i: Inputs) -> DataFrame:
 
 @query("sort_fact_supply_chain", "SELECT * FROM v_mart_supply ORDER BY machineId")
 def sort_fact_supply_chain(i: Inputs) -> DataFrame:
-    return marts.fact_supply_chain(i.ods("fact_supply_chain")).orderBy("machineId")
+    """The other columns take part in the ranges, so that rows of one machine can go to several tasks."""
+    mart = marts.fact_supply_chain(i.ods("fact_supply_chain"))
+    return mart.orderBy("machineId", *[c for c in mart.columns if c != "machineId"])
 
 
 @query(
     "sort_fact_sales",
-    "SELECT partId, contractId, round(cash, 2) AS cash, date FROM v_sales ORDER BY partId",
+    """SELECT partId, contractId, timeId, round(cash, 2) AS cash, date, PartPurchasedPerDay,
+  round(cash - (CostMaterialPricePerDay + CostPartPricePerDay), 2) AS MarginPerDay FROM v_margin_inputs ORDER BY partId""",
 )
 def sort_fact_sales(i: Inputs) -> DataFrame:
-    sales = i.ods("fact_sales").select("partId", "contractId", F.round("cash", 2).alias("cash"), "date")
-    return sales.orderBy("partId")
+    """The sales mart by part, the other columns behind it."""
+    mart = marts.fact_sales(i.ods("fact_sales"), i.ods("fact_supply_chain"))
+    mart = mart.withColumns({c: F.round(c, 2) for c in ("cash", "MarginPerDay")})
+    return mart.orderBy("partId", *[c for c in mart.columns if c != "partId"])
 
 
 # -- checks ------------------------------------------------------------------------------------------

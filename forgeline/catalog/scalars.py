@@ -151,14 +151,14 @@ def date_in_year(i: Inputs) -> DataFrame:
     )
 
 
-@query("now_text", "SELECT s_suppkey, strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS lastUpdate FROM supplier, v_run")
+@query("now_text", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS lastUpdate FROM events")
 def now_text(i: Inputs) -> DataFrame:
-    return i.table("supplier").select("s_suppkey", dates.now_text(i.run_ts).alias("lastUpdate"))
+    return i.table("events").select("event_id", dates.now_text("ts").alias("lastUpdate"))
 
 
-@query("snapshot_label", "SELECT s_suppkey, strftime(run_ts, '%Y-%m-%d %H-%M-%S') AS label FROM supplier, v_run")
+@query("snapshot_label", "SELECT event_id, strftime(ts, '%Y-%m-%d %H-%M-%S') AS label FROM events")
 def snapshot_label(i: Inputs) -> DataFrame:
-    return i.table("supplier").select("s_suppkey", dates.snapshot_label(i.run_ts).alias("label"))
+    return i.table("events").select("event_id", dates.snapshot_label("ts").alias("label"))
 
 
 @query("replace_text", "SELECT o_orderkey, replace(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '-', '') AS t FROM orders")

@@ -55,11 +55,16 @@ def scan_csv_dir_origin(i: Inputs) -> DataFrame:
     return rows.groupBy(F.substring_index("file_name", ".", -1).alias("suffix")).agg(F.count("*").alias("n"))
 
 
-@query("scan_csv_inferred", _LOG)
+@query(
+    "scan_csv_inferred",
+    """SELECT v.*, t.kind FROM (SELECT CAST("order" AS INTEGER) AS "order", CAST(partId AS INTEGER) AS partId,
+  CAST(machineId AS INTEGER) AS machineId, timeOfProduction, var5 FROM v_log) v,
+  (SELECT 'order int, partId int, machineId int, timeOfProduction bigint, var5 int' AS kind) t""",
+)
 def scan_csv_inferred(i: Inputs) -> DataFrame:
+    """The log with the types that were inferred, which each row names."""
     inferred = files.scan_csv_dir(i.spark, write_log_csv(i))
-    kinds = {f.name: f.dataType for f in schemas.MACHINE_LOG}
-    return inferred.select(*[F.col(c).cast(kinds[c]).alias(c) for c in inferred.columns])
+    return inferred.withColumn("kind", F.lit(", ".join(f"{name} {kind}" for name, kind in inferred.dtypes)))
 
 
 @query(

@@ -66,3 +66,8 @@ def margin(revenue: ColumnLike, *costs: ColumnLike) -> Column:
 def stable_row_id(*columns: ColumnLike) -> Column:
     """An id which is the same on every run because it depends on the values alone."""
     return F.xxhash64(*[_col(c) for c in columns])
+
+
+def exact_sum(value: ColumnLike) -> Column:
+    """The sum of amounts, added up as decimals: the same in whatever order rows arrive."""
+    return F.sum(_col(value).cast("decimal(28,8)")).cast("double")

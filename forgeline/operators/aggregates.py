@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cells import exact_sum
 from ..functions.dates import epoch_to_date, time_id
+from .joins import join_to_groups
 
 
 def order_part_stats(log: DataFrame, unit: str = "ms") -> DataFrame:
@@ -22,18 +24,17 @@ def part_prices(bridge: DataFrame, dedupe_parts: bool = False) -> DataFrame:
     if dedupe_parts:
         priced = bridge.groupBy("partId").agg(F.max("defaultPrice").alias("unitPrice"))
     else:
-        priced = bridge.groupBy("partId").agg(F.sum("defaultPrice").alias("unitPrice"))
+        priced = bridge.groupBy("partId").agg(exact_sum("defaultPrice").alias("unitPrice"))
     return priced
 
 
-def order_cash(quantities: DataFrame, bridge: DataFrame, dedupe_parts: bool = False) -> DataFrame:
-    """Cash per order, and in ``parts`` how many of its parts have a price."""
-    prices = part_prices(bridge, dedupe_parts)
-    return (
-        quantities.join(prices, "partId")
-        .groupBy("order")
-        .agg(F.sum(F.col("unitPrice") * F.col("quantity")).alias("cash"))
-    )
+def order_cash(quantities: DataFrame, bridge: DataFrame, dedupe_parts: bool = False, weight: str | None = None) -> DataFrame:
+    """Cash per order, from a stored table of the parts of each order; with ``weight`` also in how many
+    of its rows an order has a priced part. Orders of a part that is in very many go to several tasks."""
+    prices = part_prices(bridge, dedupe_parts).join(quantities.groupBy("partId").agg(F.count("*").alias("_rows")), "partId")
+    totals = join_to_groups(quantities, prices, ["partId"], "_rows", ["order"]).groupBy("order")
+    cash = exact_sum(F.col("unitPrice") * F.col("quantity")).alias("cash")
+    return totals.agg(cash, F.count("*").alias(weight)) if weight else totals.agg(cash)
 
 
 def count_by(rows: DataFrame, keys: list[str], column: str, name: str) -> DataFrame:
@@ -70,13 +71,13 @@ def sum_material_cost(fact: DataFrame) -> DataFrame:
         fact.select("materialId", "materialPriceDate", "materialPrice")
         .distinct()
         .groupBy("materialPriceDate")
-        .agg(F.sum("materialPrice").alias("CostMaterialPricePerDay"))
+        .agg(exact_sum("materialPrice").alias("CostMaterialPricePerDay"))
     )
 
 
 def sum_part_cost(fact: DataFrame) -> DataFrame:
     """Sum of the part prices per production day, over all fact rows."""
-    return fact.groupBy("timeId").agg(F.sum("partDefaultPrice").alias("CostPartPricePerDay"))
+    return fact.groupBy("timeId").agg(exact_sum("partDefaultPrice").alias("CostPartPricePerDay"))
 
 
 def max_plus_one(table: DataFrame, column: str) -> DataFrame:

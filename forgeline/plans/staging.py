@@ -62,13 +62,7 @@ def build_sales(log: DataFrame, bridge: DataFrame, run_ts: Column, dedupe_parts:
     """One row per part of an order, with the cash of the whole order."""
     # Read three times below; a scan of it costs less than aggregating the log again.
     stats = materialize(aggregates.order_part_stats(log), "order-parts")
-    prices = aggregates.part_prices(bridge, dedupe_parts).join(
-        stats.groupBy("partId").agg(F.count("*").alias("_rows")), "partId"
-    )
-    totals = joins.join_to_groups(stats, prices, ["partId"], "_rows", ["order"])
-    cash = totals.groupBy("order").agg(
-        F.sum(F.col("unitPrice") * F.col("quantity")).alias("cash"), F.count("*").alias("_rows")
-    )
+    cash = aggregates.order_cash(stats, bridge, dedupe_parts, weight="_rows")
     # An order none of whose parts is known has no cash and no sale.
     priced = joins.join_to_groups(stats, cash, ["order"], "_rows", ["partId"])
     seed = F.col("order") * 31 + F.col("partId") * 17

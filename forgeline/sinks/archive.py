@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ..sources.files import relative_path, scan_files
+from ..sources.files import open_file, relative_path, scan_files
 
 #: Bytes of a chunk.
 CHUNK = 64 << 20
@@ -81,17 +81,11 @@ def _read_ranges(ranges: DataFrame, chunk: int) -> DataFrame:
     """The bytes of each (path, chunk). Ranges are dealt out evenly, whatever files they are of."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1)
                 path, first = row.column("path")[0].as_py(), row.column("chunk")[0].as_py() * chunk
-                if re.match(r"(file:)?/", path):
-                    system, path = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
-                else:
-                    system, path = fs.FileSystem.from_uri(path)
-                with system.open_input_file(path) as file:
+                with open_file(path) as file:
                     content = file.read_at(min(chunk, row.column("length")[0].as_py() - first), first)
                 names = [c for c in row.schema.names if c != "path"]
                 yield pa.RecordBatch.from_arrays(

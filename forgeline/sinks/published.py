@@ -2,14 +2,20 @@
 
 A table root holds ``version=N`` directories. A version counts once its write job has
 committed (Spark then leaves a ``_SUCCESS`` file), and readers take the highest such one.
+
+A table that is replaced by parts has versions that hold some of its parts only, and beside them
+``parts/version=N``, written last: which parts a version replaced. Readers take each part from the last
+version that did.
 """
 
 from __future__ import annotations
 
-from functools import partial
+import json
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.quality import key_violations
@@ -88,7 +94,47 @@ def read_violations(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.option("basePath", f"{root}/violations").parquet(f"{root}/violations")
 
 
+PARTS = schemas.struct("part int, column string, schema string")
+
+
+def replace_parts(df: DataFrame, root: str, column: str, parts: list[int] | None = None) -> int:
+    """Publish ``df`` in place of the ``parts`` of a table, which are the values of ``column`` (an integer) it
+    may hold; a part of which it has no row is then empty. Without ``parts`` all that it holds are
+    replaced, as for the first version. Returns the number of the version."""
+    spark = df.sparkSession
+    version = max(_versions(spark, root, committed=False), default=0) + 1
+    df.hint("rebalance", column).write.mode("errorifexists").partitionBy(column).parquet(f"{root}/version={version}")
+    if parts is None:
+        written = spark.read.schema(df.schema).parquet(f"{root}/version={version}")
+        parts = [r[0] for r in written.select(column).distinct().collect()]
+    rows = [(part, column, df.schema.json()) for part in parts]
+    spark.createDataFrame(rows, PARTS).coalesce(1).write.mode("overwrite").parquet(f"{root}/parts/version={version}")
+    return version
+
+
+def _read_parts(spark: SparkSession, root: str) -> DataFrame | None:
+    """The table replaced by parts below ``root``; None when there is none."""
+    versions = _versions(spark, f"{root}/parts", committed=True)
+    if not versions:
+        return None
+    paths = [f"{root}/parts/version={v}" for v in versions]
+    noted = spark.read.schema(T.StructType([*PARTS.fields, T.StructField("version", T.IntegerType())])).option("basePath", f"{root}/parts").parquet(*paths)
+    newest = noted.groupBy("part").agg(F.max(F.struct("version", "column", "schema")).alias("m")).select("part", "m.*").collect()
+    by_version: dict[int, list[int]] = {}
+    for row in newest:  # a row per part
+        by_version.setdefault(row["version"], []).append(row["part"])
+    latest = max(newest, key=lambda row: row["version"])
+    column, schema = latest["column"], T.StructType.fromJson(json.loads(latest["schema"]))
+    placed = T.StructType([*schema.fields, T.StructField("version", T.IntegerType())])
+    rows = spark.read.schema(placed).option("basePath", root).parquet(*[f"{root}/version={v}" for v in sorted(by_version)])
+    places = [(F.col("version") == v) & F.col(column).isin(parts) for v, parts in sorted(by_version.items())]
+    return rows.filter(reduce(lambda a, b: a | b, places)).select(*[c for c in schema.fieldNames() if c != column])
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
+    by_parts = _read_parts(spark, root)
+    if by_parts is not None:
+        return by_parts
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing published below {root}")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import csv
+import re
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +22,67 @@ def _csv_files(spark: SparkSession, path: str) -> DataFrame:
     return listing.filter("length > 0").select(F.col("_metadata.file_path").alias("file_path"))
 
 
+def open_file(path: str):
+    """A file opened for reading at any place, by whatever task needs a range of it."""
+    from pyarrow import fs
+
+    if re.match(r"(file:)?/", path):
+        system, path = fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    else:
+        system, path = fs.FileSystem.from_uri(path)
+    return system.open_input_file(path)
+
+
+def _reads_ranges(path: str) -> bool:
+    """Whether `open_file` knows the store that a path is in."""
+    from pyarrow import fs
+
+    if re.match(r"(file:)?/", path):
+        return True
+    try:
+        fs.FileSystem.from_uri(path)
+    except (OSError, ValueError, NotImplementedError):
+        return False
+    return True
+
+
 def _csv_headers(spark: SparkSession, path: str, skip_unreadable: bool = False) -> DataFrame:
-    """The first line of every ``.csv`` file: (file_path, header). One pass over the lines, of which
-    only a file's first block is looked at and one line a file is kept."""
+    """The first line of every ``.csv`` file: (file_path, header), without a file that has no readable
+    one. Tasks read the first bytes of each file; a store that only Spark can open costs a pass over
+    all lines instead."""
+    listing = _csv_files(spark, path)
+    sample = listing.limit(1).collect()
+    if sample and not _reads_ranges(sample[0]["file_path"]):
+        return _headers_by_scan(spark, path, skip_unreadable)
+
+    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for name in batch.column("file_path").to_pylist():
+                try:
+                    found.append((name, _first_line(unquote(name))))
+                except (OSError, UnicodeDecodeError):
+                    if not skip_unreadable:
+                        raise
+            columns = [pa.array([f[k] for f in found], pa.string()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["file_path", "header"])
+
+    # Dealt out evenly: a listing may come in a few partitions.
+    return listing.repartition("file_path").mapInArrow(first_lines, "file_path string, header string")
+
+
+def _first_line(path: str, step: int = 4096) -> str:
+    held = b""
+    with open_file(path) as file:
+        while b"\n" not in held:
+            more = file.read(step)
+            if not more:
+                break
+            held += more
+    return held.split(b"\n", 1)[0].removesuffix(b"\r").decode("utf-8")
+
+
+def _headers_by_scan(spark: SparkSession, path: str, skip_unreadable: bool) -> DataFrame:
     reader = spark.read.option("pathGlobFilter", "*.csv").option("ignoreCorruptFiles", skip_unreadable)
     lines = reader.text(path).select(
         "value",

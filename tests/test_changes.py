@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from forgeline import schemas
 from forgeline.operators import changes as ch
 from forgeline.operators import keys
+from forgeline.plans import marts
+from forgeline.sinks.published import read_published
 from forgeline.sources.messages import FILE_OPTIONS, read_message_files, stream_message_files
 from forgeline.streaming import messages as job
 from forgeline.streaming.refresh import refresh_after_changes, touched_tables
@@ -303,6 +305,27 @@ def test_the_key_log_is_not_shuffled(spark, streamed):
     assert got == {1: (1, False), 2: (2, False), 99_999: (highest + 1, True)}
 
 
+def test_a_refresh_reads_and_replaces_touched_months_only(spark, streamed, tmp_path):
+    root, warehouse = str(tmp_path / "root"), str(tmp_path / "dwh")
+    job.compact(spark, streamed, root)
+    refresh_after_changes(spark, root, warehouse, since=job.LOADED)
+    fact = job.current_table(spark, root, "fact_supply_chain")
+    gone = fact.orderBy("timeOfProduction", "trscPartId", "trscMachineId").first()
+    key = {"machineId": gone.trscMachineId, "partId": gone.trscPartId, "timeOfProduction": f"{gone.timeOfProduction}T00:00:00"}
+    job.process_batch(messages(spark, [("supply_chain", {**key, "isDeleted": True})]), 9, root)
+    month = gone.timeOfProduction.year * 100 + gone.timeOfProduction.month
+    assert job.touched_periods(spark, root, "fact_supply_chain", 9, 10) == [month]
+    assert "month#" in plan_of(job.changes(spark, root, "fact_supply_chain", where=F.col("month").isin([month])))
+    versions = refresh_after_changes(spark, root, warehouse, since=9)
+    assert versions["fact_supply_chain"] == 2 and versions["fact_sales"] == 2
+    written = spark.read.parquet(f"{warehouse}/fact_supply_chain/version=2").select("month").distinct().collect()
+    assert {r.month for r in written} <= {month}
+    now = job.current_table(spark, root, "fact_supply_chain")
+    assert table_rows(read_published(spark, f"{warehouse}/fact_supply_chain")) == table_rows(marts.fact_supply_chain(now))
+    sales = marts.fact_sales(job.current_table(spark, root, "fact_sales"), now)
+    assert table_rows(read_published(spark, f"{warehouse}/fact_sales")) == table_rows(sales)
+
+
 def test_refresh_and_compact(spark, streamed, tmp_path):
     assert touched_tables(spark, streamed, since=0) == sorted(
         ["dim_contract", "dim_machine", "dim_material", "dim_part_information", "fact_sales", "fact_supply_chain"]

@@ -44,6 +44,51 @@ def test_csv_columns_are_matched_by_name(spark, tmp_path):
     assert {r.file_name for r in bad.collect()} == {"d.csv", "noise.csv"}
 
 
+def test_headers_are_read_without_the_lines(spark, tmp_path):
+    """Only the first bytes of a file are opened, however long it or its header is."""
+    long = ",".join(f"column{n}" for n in range(2000))
+    (tmp_path / "a.csv").write_text(f"{long}\r\n1\n")
+    (tmp_path / "b.csv").write_text("order,partId")
+    headers = files._csv_headers(spark, str(tmp_path))
+    assert {r.file_path.rsplit("/", 1)[1]: r.header for r in headers.collect()} == {"a.csv": long, "b.csv": "order,partId"}
+    assert "FileScan text" not in headers._jdf.queryExecution().executedPlan().toString()
+    scanned = files._headers_by_scan(spark, str(tmp_path), False)
+    assert {r.header for r in scanned.collect()} == {long, "order,partId"}
+
+
+def test_write_gate(spark, tmp_path):
+    """A table with a repeated key or a NULL is not published; its violations are stored."""
+    root = str(tmp_path / "t")
+    good = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    assert published.checked_refresh(good, root, ["k"], ["k"]) == 1
+    bad = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "k int, v string")
+    with pytest.raises(published.Refused):
+        published.checked_refresh(bad, root, ["k"], ["k"])
+    assert published.read_published(spark, root).count() == 2
+    found = published.read_violations(spark, root).collect()
+    assert {(r.check, r.key, r.rows, r.version) for r in found} == {("not null", "k", 2, 2), ("unique", "k=1", 2, 2)}
+    assert published.checked_refresh(bad, root, ["k"], ["k"], refuse=False) == 2
+    dims = {"dim_machine": spark.createDataFrame([(1,), (1,)], "machineId bigint"), "dim_material": spark.createDataFrame([(1, "x")], "materialId bigint, name string")}
+    with pytest.raises(published.Refused, match="dim_machine"):
+        published.checked_load(dims, str(tmp_path / "dwh"))
+    assert published.read_published(spark, str(tmp_path / "dwh" / "dim_material")).count() == 1
+
+
+def test_parts_are_replaced(spark, tmp_path):
+    """Readers see each part as the last version that replaced it left it, emptied ones included."""
+    root = str(tmp_path / "t")
+    rows = spark.range(12).select("id", (F.col("id") % 3).cast("int").alias("p"))
+    assert published.replace_parts(rows, root, "p") == 1
+    assert published.replace_parts(rows.filter("p = 1 AND id < 5"), root, "p", [1, 2]) == 2
+    assert sorted(r.id for r in published.read_published(spark, root).collect()) == [0, 1, 3, 4, 6, 9]
+    failing = rows.select(F.assert_true(F.col("id") < 2).cast("bigint").alias("id"), "p")
+    with pytest.raises(Exception):
+        published.replace_parts(failing, root, "p")
+    assert published.read_published(spark, root).count() == 6
+    assert published.replace_parts(rows.limit(0), root, "p", [0, 1, 2]) > 2
+    assert published.read_published(spark, root).count() == 0
+
+
 def test_union_keeps_partition_columns(spark, tmp_path):
     spark.range(6).select("id", (F.col("id") % 2).alias("p")).write.partitionBy("p").parquet(str(tmp_path / "u" / "cut"))
     spark.range(6, 9).write.parquet(str(tmp_path / "u" / "plain"))
