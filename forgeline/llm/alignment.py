@@ -104,6 +104,7 @@ class Pair:
         self.a_bytes = [spell(known.get(i, "")) for i in range(max(known) + 1)]
         pieces = [(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if byte else p.replace("▁", " ").encode() for p, byte in pieces]
+        self.space = self.b.piece_to_id("▁")
         self.a_size, self.b_size = (np.array([len(x) for x in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         small = max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16
         #: Type of an id, and type of a pair and its shift.
@@ -126,7 +127,9 @@ class Pair:
         out: list[tuple[bytes, bytes] | None] = []
         for chunk, x, y in zip(chunks, ours, theirs):
             body, ids = chunk.encode(), x.ids
-            if not chunk.startswith(" "):
+            if chunk == " ":  # encoded as nothing without its own space
+                y = [self.space]
+            elif not chunk.startswith(" "):
                 y = y[1:] if y and self.b_bytes[y[0]] == b" " else [0]
             same = b"".join([self.a_bytes[i] for i in ids]) == body and b"".join([self.b_bytes[i] for i in y]) == body
             out.append((np.array(ids, self.kind).tobytes(), np.array(y, self.kind).tobytes()) if same else None)
