@@ -5,37 +5,38 @@ prior (Monroe et al., 2008). Words that are significantly more frequent in toxic
 lexicon; every other word has one small negative score, the log-likelihood ratio of being
 outside it. The linear-time scan of Ruzzo and Tompa finds all maximal segments of a text. A
 segment's expected number among clean texts of that length is K n exp(-lambda s), the
-extreme-value law of Karlin and Altschul, with lambda solved from the clean word frequencies;
-the excess of the significant segments adds up to the document's evidence, and isotonic regression
-over the labelled documents turns evidence into a probability.
+extreme-value law of Karlin and Altschul, with lambda solved from the clean word frequencies and K
+fitted to clean texts; all segments add to the document's evidence by how little they are expected, and
+isotonic regression over the labelled documents turns evidence into a probability.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import by_slices, fold, packed, table
+from .common import by_slices, fold, packed, table, tidy
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Segments expected at most so often in a clean text of that length are significant.
+#: Segments expected at most so often in a clean text of that length are reported as passages.
 E_VALUE = 0.05
 THRESHOLD = 0.3
 
 
 @dataclass(frozen=True)
 class Learning:
-    prior: float = 1000.0  #: words the corpus frequencies count for
+    prior: float = 0.02  #: share of all occurrences that the corpus frequencies count for besides
     z: float = 3.5  #: deviations above 0 from which a word is in the lexicon
-    lexicon: int = 50_000  #: words of the model at most, the most significant ones
-    k: float = 0.1  #: K of the extreme-value law
+    labelled: int = 20_000  #: documents of each label to learn from at most, by a hash of the id
     steps: int = 200  #: evidence is calibrated in steps of a quarter, up to this many
 
 
@@ -49,48 +50,60 @@ class Model:
     probability: tuple[float, ...] = (0.0,)
 
 
+_SIDES = [f"{what}{half}{side}" for half in (0, 1) for side in (0, 1) for what in ("docs", "words")]
+
+
 def _counted(labelled: DataFrame) -> DataFrame:
-    """word, toxic, other: how often each word occurs. Tasks add up what they read before it is shuffled."""
+    """Per word, half of the documents and label: in how many documents it occurs, and how often. Tasks add
+    up what they read before it is shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[int]] = {}
 
         def out() -> pa.RecordBatch:
-            sides = [pa.array([v[k] for v in found.values()], pa.int64()) for k in (1, 0)]
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *sides], names=["word", "toxic", "other"])
+            sides = [pa.array([v[k] for v in found.values()], pa.int64()) for k in range(len(_SIDES))]
+            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *sides], names=["word", *_SIDES])
 
         for batch in batches:
-            for text, toxic in zip(batch.column("text"), batch.column("toxic")):
-                side = int(toxic.as_py())
-                for word in WORD.findall(text.as_py().lower()):
+            for text, toxic, half in zip(batch.column("text"), batch.column("toxic"), batch.column("half")):
+                at = 4 * half.as_py() + 2 * int(toxic.as_py())
+                for word, n in Counter(WORD.findall(text.as_py().lower())).items():
                     entry = found.get(word)
                     if entry is None:
-                        entry = found[word] = [0, 0]
-                    entry[side] += 1
-                if len(found) > 300_000:
+                        entry = found[word] = [0] * len(_SIDES)
+                    entry[at] += 1
+                    entry[at + 1] += n
+                if len(found) > 200_000:
                     yield out()
                     found.clear()
         yield out()
 
-    each = labelled.select("text", "toxic").mapInArrow(count, "word string, toxic bigint, other bigint")
-    return each.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    each = labelled.select("text", "toxic", "half").mapInArrow(count, "word string, " + ", ".join(f"{c} bigint" for c in _SIDES))
+    return each.groupBy("word").agg(*[F.sum(c).alias(c) for c in _SIDES])
 
 
-def _lexicon(counts: DataFrame, how: Learning) -> Model | None:
-    total = counts.agg(F.sum("toxic").alias("t"), F.sum("other").alias("o")).first()
+def _lexicon(counts: DataFrame, how: Learning, halves: tuple[int, ...] = (0, 1)) -> Model | None:
+    """The words whose documents are toxic significantly more often than others. A word counts once per
+    document, so one document that repeats a word does not make it significant."""
+    names = {"t": "docs{}1", "o": "docs{}0", "wt": "words{}1", "wo": "words{}0"}
+    counts = counts.select("word", *[reduce(lambda a, b: a + b, [F.col(c.format(h)) for h in halves]).alias(n) for n, c in names.items()])
+    total = counts.agg(*[F.sum(n).alias(n) for n in names]).first()
     if not total["t"] or not total["o"]:
         return None
     t, o = float(total["t"]), float(total["o"])
-    a = how.prior * (F.col("toxic") + F.col("other")) / (t + o)
-    odds = lambda y, n: F.ln((y + a) / (n + how.prior - y - a))
-    rows = counts.withColumn("s", odds(F.col("toxic"), t) - odds(F.col("other"), o))
-    rows = rows.withColumn("z", F.col("s") / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("other") + a)))
-    top = rows.where(F.col("z") >= how.z).orderBy(F.desc("z"), "word").limit(how.lexicon).collect()
+    prior = how.prior * (t + o)
+    a = how.prior * (F.col("t") + F.col("o"))
+    odds = lambda y, n: F.ln((y + a) / (n + prior - y - a))
+    rows = counts.where("t + o > 0").withColumn("s", odds(F.col("t"), t) - odds(F.col("o"), o))
+    rows = rows.withColumn("z", F.col("s") / F.sqrt(1 / (F.col("t") + a) + 1 / (F.col("o") + a)))
+    # As many words as the labelled documents, whose number is bounded, make significant.
+    top = rows.where(F.col("z") >= how.z).orderBy("word").collect()
+    wt, wo = float(total["wt"]), float(total["wo"])
     scores = {r["word"]: r["s"] for r in top}
-    in_t, in_o = sum(r["toxic"] for r in top) / t, sum(r["other"] for r in top) / o
+    in_t, in_o = sum(r["wt"] for r in top) / wt, sum(r["wo"] for r in top) / wo
     other = min(math.log(max(1 - in_t, 1e-9) / max(1 - in_o, 1e-9)), -1e-3)
     # lambda: the clean words' mean of exp(lambda score) is 1; unseen ones count as half a word.
-    weights = [((r["other"] + 0.5) / (o + 0.5 * len(top)), r["s"]) for r in top]
+    weights = [((r["wo"] + 0.5) / (wo + 0.5 * len(top)), r["s"]) for r in top]
     rest = 1 - sum(w for w, _ in weights)
 
     def excess(x: float) -> float:
@@ -100,7 +113,27 @@ def _lexicon(counts: DataFrame, how: Learning) -> Model | None:
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if excess(middle) < 0 else (low, middle)
-    return Model(scores, other, max(low, 0.05), how.k)
+    return Model(scores, other, max(low, 0.05), 1.0)
+
+
+def _fitted(clean: DataFrame, model: Model) -> Model:
+    """The model with K fitted to texts without toxic passages: their segments of at least 1 / lambda are
+    expected to be K exp(-1) per word."""
+    shared = clean.sparkSession.sparkContext.broadcast(model)
+
+    def tally(texts: list[str]) -> pa.Array:
+        model, out = shared.value, []
+        for body in texts:
+            found = WORD.findall(body.lower())
+            scored = [(i, model.scores[w]) for i, w in enumerate(found) if w in model.scores]
+            many = sum(s * model.scale >= 1 for *_, s in segments(scored, len(found), model.other))
+            out.append({"words": len(found), "segments": many})
+        return pa.array(out, pa.struct([("words", pa.int64()), ("segments", pa.int64())]))
+
+    kind = pa.struct([("words", pa.int64()), ("segments", pa.int64())])
+    each = clean.select(F.arrow_udf(by_slices(tally, kind), "words bigint, segments bigint")("text").alias("f"))
+    sums = each.agg(F.sum("f.words").alias("words"), F.sum("f.segments").alias("segments")).first()
+    return replace(model, k=((sums["segments"] or 0) + 0.5) / max(sums["words"] or 0, 1) * math.e)
 
 
 def segments(scored: list[tuple[int, float]], n: int, other: float) -> list[tuple[int, int, float]]:
@@ -135,7 +168,8 @@ FOUND_DDL = "evidence double, passages array<struct<first bigint, end bigint, sc
 
 def scanned(spark: SparkSession, text: Column, model: Model) -> Column:
     """struct<evidence, passages> of a whole text: its significant segments in words, and the sum of
-    -ln of their expected numbers over the bound. Texts without words have none and evidence 0."""
+    ln(1 + 1 / expected number) of all segments, to which weak ones add little. Texts without words have
+    none and evidence 0."""
     shared = spark.sparkContext.broadcast(model)
 
     def scan(texts: list[str]) -> pa.Array:
@@ -146,10 +180,10 @@ def scanned(spark: SparkSession, text: Column, model: Model) -> Column:
             scored = [(i, lookup[w]) for i, w in enumerate(found) if w in lookup]
             passages, evidence = [], 0.0
             for first, end, score in segments(scored, len(found), model.other):
-                expected = model.k * len(found) * math.exp(-min(model.scale * score, 700))
+                expected = model.k * len(found) * math.exp(-min(model.scale * score, 600))
+                evidence += math.log1p(1 / expected)
                 if expected <= E_VALUE:
                     passages.append((first, end, score, expected))
-                    evidence += math.log(E_VALUE / expected) + 0.25
             out.append((evidence, passages))
         names = [f.name for f in PASSAGES.value_type]
         return pa.array([{"evidence": e, "passages": [dict(zip(names, p)) for p in ps]} for e, ps in out], FOUND)
@@ -168,29 +202,52 @@ def _isotonic(steps: list[tuple[int, int, int]]) -> list[float]:
     return [p[0] / p[1] for p in pools for _ in range(int(p[2]))]
 
 
+def _sample(known: DataFrame, how: Learning) -> DataFrame:
+    """At most ``how.labelled`` documents of each label, by a hash of the id."""
+    order = [F.xxhash64("id"), F.col("id")]
+    sides = [known.where(F.col("toxic") == toxic).orderBy(*order).limit(how.labelled) for toxic in (0, 1)]
+    return sides[0].unionByName(sides[1])
+
+
 def learn(docs: DataFrame, labels: DataFrame, how: Learning = Learning(), teach: Column | None = None) -> Model | None:
-    """The model of all labelled documents for which ``teach`` holds (over doc_id); None without
-    toxic or without other words. A document is toxic if any of its labels says so."""
+    """The model of labelled documents for which ``teach`` holds (over ``id``); None without toxic or
+    without other words. A document is toxic if any of its labels says so.
+
+    Evidence is calibrated on each half of the documents by a lexicon of the other half, so that words
+    which are significant by chance do not count as evidence there.
+    """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
+    known = known.where(teach) if teach is not None else known
     rows = packed(docs, id="doc_id:bigint", text="text").drop("row").where(F.col("text").isNotNull())
-    rows = rows.where(teach) if teach is not None else rows
-    labelled = materialize(rows.join(known, "id").select("text", "toxic"), "toxic-labelled")
-    model = _lexicon(materialize(_counted(labelled), "toxic-words"), how)
+    # The sample's size is bounded; the texts stay where they are.
+    taken = rows.join(F.broadcast(_sample(known, how)), "id")
+    half = F.pmod(F.xxhash64(F.lit(3), F.col("id")), F.lit(2)).cast("int").alias("half")
+    labelled = materialize(taken.select("text", "toxic", half), "toxic-labelled")
+    counts = materialize(_counted(labelled), "toxic-words")
+    model = _lexicon(counts, how)
     if model is None:
         return None
-    evidence = scanned(docs.sparkSession, F.col("text"), model)
-    step = F.least(F.ceil(F.col("f.evidence") * 4), F.lit(how.steps))
-    sums = (
-        labelled.select("toxic", evidence.alias("f"))
-        .groupBy(step.alias("step"))
-        .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("total"))
-        .orderBy("step")
-        .collect()  # one row per step
-    )
-    counted = [(r["step"], r["toxic"], r["total"]) for r in sums]
-    probability = tuple(_isotonic(counted))
-    return Model(model.scores, model.other, model.scale, model.k, tuple(s / 4 for s, _, _ in counted), probability)
+    clean = labelled.where("toxic = 0")
+    model = _fitted(clean, model)
+    tallies: dict[int, list[int]] = {}
+    for own in (0, 1):
+        judge = _lexicon(counts, how, (1 - own,))
+        judge = _fitted(clean.where(F.col("half") == 1 - own), judge) if judge else model
+        evidence = scanned(docs.sparkSession, F.col("text"), judge)
+        step = F.least(F.ceil(F.col("f.evidence") * 4), F.lit(how.steps))
+        sums = (
+            labelled.where(F.col("half") == own)
+            .select("toxic", evidence.alias("f"))
+            .groupBy(step.alias("step"))
+            .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("total"))
+        )
+        for r in sums.collect():  # one row per step
+            found = tallies.setdefault(r["step"], [0, 0])
+            found[0] += r["toxic"]
+            found[1] += r["total"]
+    counted = [(step, *tallies[step]) for step in sorted(tallies)]
+    return replace(model, evidence=tuple(step / 4 for step, *_ in counted), probability=tuple(_isotonic(counted)))
 
 
 def scored(docs: DataFrame, model: Model | None, text: str = "text", doc_id: str = "doc_id", keep_rows: bool = True) -> DataFrame:
@@ -214,6 +271,7 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", doc_id: str
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tidy(spark)
     docs = table(spark, sf_dir, "documents")
     model = learn(docs, table(spark, sf_dir, "labels"), teach=fold(F.col("id"), 4) != 2)
     rows = scored(docs, model, keep_rows=False)
