@@ -65,18 +65,31 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 
 @contextmanager
-def temporary_work(spark: SparkSession) -> Iterator[None]:
-    """Remove the working folders made inside the block at its end. For jobs that write
-    their result elsewhere; a DataFrame that leaves the block must not read from them."""
+def noted_work() -> Iterator[list[str]]:
+    """The working folders made inside the block, for a caller who knows when they are no longer read."""
     made: list[str] = []
     token = _made.set(made)
     try:
-        yield
+        yield made
     finally:
         _made.reset(token)
-        for path in made:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def remove_work(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+@contextmanager
+def temporary_work(spark: SparkSession) -> Iterator[None]:
+    """Remove the working folders made inside the block at its end. For jobs that write
+    their result elsewhere; a DataFrame that leaves the block must not read from them."""
+    with noted_work() as made:
+        try:
+            yield
+        finally:
+            remove_work(spark, made)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
