@@ -1,63 +1,3 @@
-"""A training corpus from raw documents: good ones, in a known language, once each, mixed and packed."""
+"""The corpus pipeline: its stages, their run, and its SQL (none)."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-
-from forgeline.llm import language, mixing, packing, quality, simhash
-from forgeline.llm.common import small_batches, table
-from forgeline.session import materialize
-
-#: Words whose ids a packing process remembers: few, as executors come out of four stages with their heaps full.
-REMEMBERED_WORDS = 100_000
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the base rules and the learned rules keep."""
-    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
-
-
-def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that some language claims."""
-    small_batches(spark)
-    return language.understood_documents(docs)
-
-
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
-    small_batches(spark)
-    return simhash.distinct_documents(docs)
-
-
-def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as the mix takes them: left out, in part, once or twice."""
-    small_batches(spark)
-    return mixing.mixed_documents(docs)
-
-
-def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences."""
-    small_batches(spark)
-    return packing.pack(docs, packing.tokenizer_path(), remembered=REMEMBERED_WORDS)
-
-
-STAGES = [
-    ("quality rules", quality_rules),
-    ("language id", language_id),
-    ("simhash near-dedup", near_dedup),
-    ("source mix", source_mix),
-    ("packing", packed_sequences),
-]
-
-#: The language and packing stages can't be said in SQL.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stage in turn, each over the written result of the one before."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES, 1):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES):
-            docs = materialize(docs, f"pipeline-{k}")
-    return docs
+from forgeline.llm.pipeline import ORACLE_SQL, STAGES, run  # noqa: F401

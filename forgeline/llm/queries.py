@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, counts, hnsw, language, licenses, mixing, packing, prefixes, quality, repair, simhash, substrings, toxicity
+from . import alignment, counts, hnsw, language, licenses, mixing, packing, pipeline, prefixes, quality, repair, simhash, substrings, toxicity
 from .common import table
 
 
@@ -29,6 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_prefix_trie": _over("conversations", prefixes.op11),
     "op12_token_alignment": _over("documents", alignment.op12),
     "op13_substring_dedup": _over("documents", substrings.op13),
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 ORACLES = {"op5_source_mix": mixing.OP5_SQL, "op11_prefix_trie": prefixes.OP11_SQL}

@@ -566,12 +566,34 @@ def _exact(pairs: DataFrame, texts: DataFrame, how: SimHash) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    of = texts.join(wanted, "node", "left_semi").withColumn("set", F.arrow_udf(by_slices(sets, binary), "binary")("text"))
-    of = materialize(of.groupBy("node").agg(F.first("set").alias("set")), "near-sets")
+    of = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    of = of.select("node", F.arrow_udf(by_slices(sets, binary), "binary")("text").alias("set"))
+    of = materialize(of, "near-sets")
     rows = pairs.join(of.withColumnsRenamed({"node": "a", "set": "as"}), "a").join(of.withColumnsRenamed({"node": "b", "set": "bs"}), "b")
     return rows.select("a", "b", "as", "bs").mapInArrow(verified, "a string, b string")
 
 
+def _verified(near: DataFrame, classes: DataFrame, texts: DataFrame, how: SimHash) -> DataFrame:
+    """Links that join what all pairs of ``near`` with similar texts join.
+
+    First each class is held against the least of those near it. Of the pairs only those matter then that
+    go from one component of what was found to another, so a large group of copies, which one class
+    stands for, is not compared pair by pair.
+    """
+    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
+    first = materialize(_exact(materialize(_similar(least, classes, how), "near-alike"), texts, how), "near-links")
+    roots = components(first)
+    for side in ("a", "b"):
+        of = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        near = near.join(of, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    apart = materialize(near.where("root_a <> root_b").select("a", "b"), "near-apart")
+    if apart.isEmpty():
+        return first
+    rest = _exact(materialize(_similar(apart, classes, how), "near-alike"), texts, how)
+    return first.unionByName(materialize(rest, "near-links"))
+
+
 def links(classes: DataFrame, how: SimHash, texts: DataFrame | None = None) -> DataFrame:
     """(a, b): names of classes that are linked; classes have w and margin. With flips, ``texts``
     has node and text of their members."""
@@ -579,8 +601,7 @@ def links(classes: DataFrame, how: SimHash, texts: DataFrame | None = None) -> D
     if how.flips:
         met = materialize(_met_in_buckets(buckets, how), "near-met")
         near = materialize(_named(met.where("key is null"), how), "near-named")
-        near = materialize(_similar(near, classes, how), "near-alike")
-        sure = materialize(_exact(near, texts, how), "near-links")
+        sure = _verified(near, classes, texts, how)
         members = met.where("key is not null")
         if members.isEmpty():
             return sure

@@ -14,7 +14,7 @@ ODD_ASCII = [c for c in ODD if c.isascii()]
 #: A word with the space before it, or what else there is between words. A piece never crosses a
 #: border between two of these: a run of spaces gives its last one to the word behind it.
 CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: Chunks remembered per process, about 200 bytes each; a full memory starts again.
+#: Chunks remembered per process, about 200 bytes each, in two halves of which the older one is dropped.
 REMEMBERED = 400_000
 
 
@@ -24,11 +24,13 @@ class Encoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         self.remembered = remembered
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         # A tokenizer that drops white space can take words without the space before them.
         self.spaced = bool(self.tokenizer.encode("a b", add_special_tokens=False).ids != self._ids("a") + self._ids("b"))
+        #: Tokens that stand for a string as it is, wherever it stands: texts that hold one are encoded whole.
+        self.added = sorted(str(token) for token in self.tokenizer.get_added_tokens_decoder().values())
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -37,18 +39,22 @@ class Encoder:
         return np.array(ids, self.kind).tobytes()
 
     def __call__(self, text: str) -> np.ndarray:
-        if any(c in text for c in (ODD_ASCII if text.isascii() else ODD)):
+        if any(c in text for c in (ODD_ASCII if text.isascii() else ODD)) or any(t in text for t in self.added):
             return np.array(self._ids(text), self.kind)
         chunks = CHUNK.findall(text) if self.spaced else text.split()
-        known = self.known
-        new = list(set(chunks).difference(known))
+        known, old, new = self.known, self.old, []
+        for chunk in set(chunks).difference(known):
+            if chunk in old:
+                known[chunk] = old[chunk]
+            else:
+                new.append(chunk)
         if new:
-            if len(known) + len(new) > self.remembered:
-                known.clear()
-                new = list(set(chunks))
             for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
                 known[chunk] = self._bytes(found.ids)
-        return np.frombuffer(b"".join(map(known.__getitem__, chunks)), self.kind)
+        ids = b"".join(map(known.__getitem__, chunks))
+        if len(known) > self.remembered // 2:  # what is not asked for again in the next half goes
+            self.old, self.known = known, {}
+        return np.frombuffer(ids, self.kind)
 
 
 @lru_cache(maxsize=2)
