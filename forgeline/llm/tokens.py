@@ -1,4 +1,8 @@
-"""Token ids of whole texts with a given tokenizer file, sharing work between equal words."""
+"""Token ids of whole texts with a given tokenizer file, sharing work between equal words.
+
+Words not met before go to the tokenizer together, as one text: a call per word costs more than the word.
+The ids are dealt back to the words by the lengths of their tokens' bytes.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,8 @@ ODD_ASCII = [c for c in ODD if c.isascii()]
 #: A word with the space before it, or what else there is between words. A piece never crosses a
 #: border between two of these: a run of spaces gives its last one to the word behind it.
 CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: New words per call.
+TOGETHER = 50_000
 #: Chunks remembered per process, about 200 bytes each, in two halves of which the older one is dropped.
 REMEMBERED = 400_000
 
@@ -29,6 +35,10 @@ class Encoder:
         self.spaced = bool(self.tokenizer.encode("a b", add_special_tokens=False).ids != self._ids("a") + self._ids("b"))
         #: Tokens that stand for a string as it is, wherever it stands: texts that hold one are encoded whole.
         self.added = sorted(str(token) for token in self.tokenizer.get_added_tokens_decoder().values())
+        #: Bytes of a text that each token stands for: a byte-level token has a character per byte.
+        self.lengths = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.lengths[i] = len(token.removesuffix("</w>"))
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -38,6 +48,43 @@ class Encoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
+    def _alone(self, chunks: list[str]) -> None:
+        for chunk, found in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+            self.known[chunk] = self._bytes(found.ids)
+
+    def _together(self, chunks: list[str]) -> bool:
+        """Encode chunks as one text, each with a space before it; false if the ids do not part where the chunks do,
+        as when a tokenizer changes letters to others of more bytes."""
+        text = "".join(chunks) if self.spaced else " ".join(chunks)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        ends = np.cumsum(self.lengths[ids])
+        sizes = map(len, chunks) if text.isascii() else (len(c.encode()) for c in chunks)
+        border = np.cumsum(np.fromiter(sizes, np.int64, len(chunks)))
+        if not len(ends) or ends[-1] != border[-1]:
+            return False
+        at = np.searchsorted(ends, border)
+        if (ends[at] != border).any():
+            return False
+        stored, step = ids.astype(self.kind).tobytes(), self.kind.itemsize
+        start = 0
+        for chunk, end in zip(chunks, ((at + 1) * step).tolist()):
+            self.known[chunk] = stored[start:end]
+            start = end
+        return True
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember the ids of chunks not met before."""
+        first = " " if self.spaced else ""
+        plain, other, alone = [], [], []
+        for c in chunks:
+            (alone if c.isspace() or not c.startswith(first) else plain if c.isascii() else other).append(c)
+        for joined in (plain, other):
+            for k in range(0, len(joined), TOGETHER):
+                if not self._together(joined[k : k + TOGETHER]):
+                    alone += joined[k : k + TOGETHER]
+        if alone:
+            self._alone(alone)
+
     def __call__(self, text: str) -> np.ndarray:
         if any(c in text for c in (ODD_ASCII if text.isascii() else ODD)) or any(t in text for t in self.added):
             return np.array(self._ids(text), self.kind)
@@ -49,8 +96,7 @@ class Encoder:
             else:
                 new.append(chunk)
         if new:
-            for chunk, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[chunk] = self._bytes(found.ids)
+            self._learn(new)
         ids = b"".join(map(known.__getitem__, chunks))
         if len(known) > self.remembered // 2:  # what is not asked for again in the next half goes
             self.old, self.known = known, {}
