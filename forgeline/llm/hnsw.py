@@ -1,15 +1,17 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Largest inner products become smallest distances when each vector gets one more component that
-brings it to the length of the longest of its shard. Equal vectors are one node. A shard
-has a bounded number of nodes; its layers are drawn by hash, and each layer links a node to
+Vectors of one shard are of about one length (bands of 10 %): largest inner products become smallest distances
+when each vector gets one more component that brings it to the length of the longest of its shard, and
+that component stays small. Neighbouring bands share a shard only while all of it fits the search's beam.
+Equal vectors are one node. A shard has a bounded number of nodes; its layers are drawn by hash, and each layer links a node to
 neighbours that are nearer to it than to each other (the selection rule of Malkov and Yashunin),
 both ways, with a link added wherever a part of the layer could not be reached. The candidates for links are
 the exact nearest nodes of the shard, found by blocked matrix products, which is cheaper than a greedy
 search at this size. Graph and vectors are stored as flat arrays in one row per shard.
 
 Queries go to all shards in blocks: each block is one row, repeated per shard and joined to it on the shard's
-number. A beam search moves all queries of a block at once; the shards' results are merged by rank.
+number. A beam search moves all queries of a block at once, and enters each layer at several nodes, so that
+clusters far from each other are all reached; the shards' results are merged by rank.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ from .common import packed
 class Graphs:
     """Parameters of graphs and search."""
 
-    shard: int = 4096  #: nodes per shard on average
+    shard: int = 16384  #: nodes per shard on average, at most
+    band: float = 1.1  #: longest to shortest vector of a band of lengths
     links: int = 16  #: per node; twice as many on the lowest layer
     candidates: int = 64  #: considered for links
     beam: int = 96  #: of the search on the lowest layer
+    entries: int = 32  #: of the search on the upper layers, and where it enters the next one
     block: int = 512  #: queries that search together
 
 
@@ -44,6 +48,26 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & ~bad & F.exists(vector, lambda x: x != 0)
 
 
+def _band(vector: Column, ratio: float) -> Column:
+    """The band of a vector's length; length 1 lies in the middle of band 0. Doubles have less than
+    16,000 bands of 10 %."""
+    most = F.array_max(F.transform(vector, F.abs))
+    size = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))
+    return F.floor((F.log(most) + F.log(size) / 2) / F.lit(float(np.log(ratio))) + 0.5).cast("int")
+
+
+def _placed(bands: list[tuple[int, int]], how: Graphs) -> list[tuple[int, int, int]]:
+    """Bands and their numbers of nodes to (band, first shard, shards)."""
+    out, shard, held = [], -1, 0
+    for band, n in sorted(bands, reverse=True):
+        if shard < 0 or held + n > how.beam:
+            shard, held = shard + 1, 0
+        parts = -(-n // how.shard)
+        out.append((band, shard, parts))
+        shard, held = shard + parts - 1, held + n
+    return out
+
+
 def _neighbours(points: np.ndarray, wanted: int) -> np.ndarray:
     """The exact nearest other points, nearest first, ties by place."""
     n = len(points)
@@ -135,13 +159,13 @@ class Shard:
     vectors: np.ndarray
     layers: list[tuple[np.ndarray, np.ndarray]]  #: from the top: nodes of the layer, their links (as nodes)
 
-    def search(self, queries: np.ndarray, wanted: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, wanted: int, beam: int, entries: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Nodes and inner products found for each query, best first; -1 fills up."""
         q = len(queries)
         entry = np.zeros((q, 1), np.int64) + self.layers[0][0][0]
         for k, (nodes, links) in enumerate(self.layers):
             last = k == len(self.layers) - 1
-            entry, scores = self._beam(queries, entry, links, nodes, max(beam, wanted) if last else 1)
+            entry, scores = self._beam(queries, entry, links, nodes, max(beam, wanted) if last else entries)
         return entry[:, :wanted], scores[:, :wanted]
 
     def _beam(self, queries: np.ndarray, entry: np.ndarray, links: np.ndarray, nodes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,6 +204,7 @@ class Shard:
 
 def build(vectors: np.ndarray, levels: np.ndarray, how: Graphs) -> Shard:
     """The graph over a shard's vectors; ``levels`` says on how many upper layers a node is."""
+    vectors = vectors / np.abs(vectors).max()  # as single precision holds them; their order by products stays
     points = vectors.astype(np.float32)
     size = (points**2).sum(1)
     points = np.concatenate([points, np.sqrt(np.maximum(size.max() - size, 0))[:, None]], 1)
@@ -196,14 +221,15 @@ SHARDS = "shard int, dim int, ids array<bigint>, vectors binary, sizes array<int
 
 def index(vectors: DataFrame, how: Graphs = Graphs()) -> DataFrame:
     """(node, vector) to one row per shard with the flat arrays of its graph."""
-    count = vectors.count()
-    shards = max(1, -(-count // how.shard))
+    vectors = vectors.withColumn("band", _band(F.col("vector"), how.band))
+    counts = [(r["band"], r["count"]) for r in vectors.groupBy("band").count().collect()]
+    places = vectors.sparkSession.createDataFrame(_placed(counts, how), "band int, first int, parts int")
     ratio = np.log(how.links)
 
     def graph(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("node")
         ids = rows["node"].to_numpy()
-        points = np.stack(rows["vector"].to_numpy()).astype(np.float32)
+        points = np.stack(rows["vector"].to_numpy())
         drawn = (rows["h"].to_numpy().view(np.uint64) >> np.uint64(11)).astype(float) / 2.0**53
         made = build(points, (-np.log(np.maximum(drawn, 2.0**-53)) / ratio).astype(int), how)
         return pd.DataFrame(
@@ -211,7 +237,7 @@ def index(vectors: DataFrame, how: Graphs = Graphs()) -> DataFrame:
                 "shard": [rows["shard"].iloc[0]],
                 "dim": [points.shape[1]],
                 "ids": [ids],
-                "vectors": [points.tobytes()],
+                "vectors": [made.vectors.tobytes()],
                 "sizes": [[len(n) for n, _ in made.layers]],
                 "widths": [[links.shape[1] for _, links in made.layers]],
                 "nodes": [np.concatenate([n for n, _ in made.layers]).astype(np.int32).tobytes()],
@@ -219,8 +245,9 @@ def index(vectors: DataFrame, how: Graphs = Graphs()) -> DataFrame:
             }
         )
 
-    placed = vectors.select(
-        F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"), "node", "vector", F.xxhash64("node", F.lit("level")).alias("h")
+    # One row per band of lengths, which doubles have less than 16,000 of.
+    placed = vectors.join(F.broadcast(places), "band").select(
+        (F.col("first") + F.pmod(F.xxhash64("node"), F.col("parts"))).cast("int").alias("shard"), "node", "vector", F.xxhash64("node", F.lit("level")).alias("h")
     )
     return placed.groupBy("shard").applyInPandas(graph, SHARDS)
 
@@ -247,12 +274,15 @@ def searched(shards: DataFrame, queries: DataFrame, wanted: int, how: Graphs = G
         held, shard, ids = None, None, None
         for batch in batches:
             for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                if held != row["shard"]:
-                    held, shard, ids = row["shard"], opened(row), np.array(row["ids"])
-                names = np.array([a["query"] for a in row["asked"]])
-                asked = np.array([a["vector"] for a in row["asked"]], np.float32)
-                nodes, _ = shard.search(asked, wanted, how.beam)
+                number = batch.column("shard")[at].as_py()
+                if held != number:
+                    row = batch.slice(at, 1).drop_columns(["asked"]).to_pylist()[0]
+                    held, shard, ids = number, opened(row), np.array(row["ids"])
+                block = batch.column("asked")[at].as_py()
+                names = np.array([a["query"] for a in block])
+                asked = np.array([a["vector"] for a in block])
+                asked = (asked / np.abs(asked).max(1, keepdims=True)).astype(np.float32)
+                nodes, _ = shard.search(asked, wanted, how.beam, how.entries)
                 query, k = np.nonzero(nodes >= 0)
                 yield pa.RecordBatch.from_arrays([pa.array(names[query]), pa.array(ids[nodes[query, k]])], names=["query", "node"])
 

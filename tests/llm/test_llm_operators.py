@@ -390,6 +390,44 @@ def test_nearest(spark):
     assert hnsw.op1(spark.createDataFrame(points[:3], "vec_id bigint, embedding array<double>")).count() == 2
 
 
+def vectors_of(kind):
+    rng = np.random.default_rng(11)
+    n, d = 2400, 24
+    points = rng.standard_normal((n, d))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    if kind == "clusters":
+        centres = points[:40] * np.exp(0.5 * rng.standard_normal((40, 1)))
+        return centres[rng.integers(0, 40, n)] + 0.02 * rng.standard_normal((n, d))
+    return points * np.exp(kind * rng.standard_normal((n, 1)))
+
+
+@pytest.mark.parametrize("kind", [0, 0.1, 0.25, 1.0, "clusters", "huge"])
+def test_recall_whatever_the_lengths(spark, kind):
+    x = vectors_of(0.25) * 1e200 if kind == "huge" else vectors_of(kind)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {}
+    # Small shards, so that bands are cut and beams are narrower than what they search.
+    for r in hnsw.nearest(frame, F.col("vec_id") % 20 == 0, 20, hnsw.Graphs(shard=1000)).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = []
+    for q in range(0, len(x), 20):
+        scores = (x / np.abs(x).max()) @ (x[q] / np.abs(x).max())
+        scores[q] = -np.inf
+        recall.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    if kind == "huge":  # products beyond what a double holds are all infinite: ties
+        assert all(len(found) == 20 for found in got.values())
+    else:
+        assert np.mean(recall) >= 0.95 and min(recall) >= 0.6
+
+
+def test_shards_of_bands():
+    how = hnsw.Graphs(shard=100, beam=10)
+    places = hnsw._placed([(5, 3), (4, 4), (3, 250), (2, 3), (1, 3), (-9, 5)], how)
+    # The two longest bands share a shard; one of 250 is cut in three; what fits the beam is put together again.
+    assert places == [(5, 0, 1), (4, 0, 1), (3, 1, 3), (2, 4, 1), (1, 4, 1), (-9, 5, 1)]
+    assert hnsw._placed([], how) == []
+
+
 def test_pipeline(spark, tmp_path, docs, labels):
     import corpus_pipeline
 
