@@ -51,9 +51,12 @@ def _usable(vector: Column) -> Column:
 def _band(vector: Column, ratio: float) -> Column:
     """The band of a vector's length; length 1 lies in the middle of band 0. Doubles have less than
     16,000 bands of 10 %."""
+    plain = F.log(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x * x)) / 2
+    # Squares that a double can't hold are taken relative to the largest number of the vector.
     most = F.array_max(F.transform(vector, F.abs))
     size = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x / most) * (x / most))
-    return F.floor((F.log(most) + F.log(size) / 2) / F.lit(float(np.log(ratio))) + 0.5).cast("int")
+    length = F.when(F.abs(plain) < 300, plain).otherwise(F.log(most) + F.log(size) / 2)
+    return F.floor(length / F.lit(float(np.log(ratio))) + 0.5).cast("int")
 
 
 def _placed(bands: list[tuple[int, int]], how: Graphs) -> list[tuple[int, int, int]]:

@@ -428,6 +428,14 @@ def test_shards_of_bands():
     assert hnsw._placed([], how) == []
 
 
+def test_bands_of_lengths(spark):
+    sizes = [1.0, 0.99, 1.04, 1.06, 2.0, 1e-300, 1e300, 5e-324]
+    frame = spark.createDataFrame([([0.6 * x, 0.8 * x],) for x in sizes[:-1]] + [([0.0, sizes[-1]],)], "v array<double>")
+    got = [r.b for r in frame.select(hnsw._band(F.col("v"), 1.1).alias("b")).collect()]
+    assert got == [int(np.floor(np.log(x) / np.log(1.1) + 0.5)) for x in sizes]
+    assert got[:4] == [0, 0, 0, 1]
+
+
 def test_pipeline(spark, tmp_path, docs, labels):
     import corpus_pipeline
 
