@@ -280,3 +280,56 @@ def test_working_folders(spark):
     import os
 
     assert not os.path.exists(path.removeprefix("file://"))
+
+
+def test_contents_of_odd_values(spark):
+    """Sums over the texts of odd values; values are hashed once per batch, not once per row."""
+    from hashlib import md5
+
+    from forgeline.sinks.contents import contents
+
+    df = spark.sql(
+        "SELECT * FROM VALUES (1L, 0.00005D, date'-0044-03-15', 'a|b'), (1L, -0.00004D, date'+12345-03-15', ''), "
+        "(1L, 1e35D, date'2024-01-02', NULL), (NULL, cast('NaN' AS DOUBLE), NULL, '~') AS t(n, x, d, s)"
+    )
+
+    def total(*texts):
+        return str(sum(int(md5(text.encode()).hexdigest()[:15], 16) for text in texts))
+
+    found = {row["column"]: row["checksum"] for row in contents({"t": df}).collect()}
+    assert found["n"] == total("1", "1", "1")
+    assert found["x"] == total("0.0001", "0.0000", "1.0E35", "NaN")
+    assert found["d"] == total("-0044-03-15", "+12345-03-15", "2024-01-02")
+    assert found["s"] == total("a|b", "", "~")
+    assert found["*"] == total("1|0.0001|-0044-03-15|a|b", "1|0.0000|+12345-03-15|", "1|1.0E35|2024-01-02|~", "~|NaN|~|~")
+    assert {row["checksum"] for row in contents({"t": df.limit(0)}).collect()} == {"0"}
+    assert "md5(" not in contents({"t": df})._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_query_loads_the_tables_it_reads(spark):
+    from pathlib import Path
+
+    from conftest import SMALL
+    from forgeline.catalog.registry import Inputs
+
+    inputs = Inputs(spark, f"{SMALL}/")
+    inputs.ods("dim_machine")
+    assert {p.name for p in Path(inputs.ods_with()).iterdir() if not p.name.startswith("rejects")} == {"dim_machine"}
+    assert {p.name for p in Path(inputs.ods_root).iterdir()} == {*schemas.TABLE_NAMES, "rejects"}
+
+
+def test_the_checked_mart_is_worked_out_once(small, monkeypatch):
+    """The rows that are blanked come from the same pass as the others."""
+    from forgeline.catalog import storage
+    from forgeline.sinks import published
+
+    plans = []
+
+    def keep(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        raise published.Refused("", f"{small.sf_dir}/nation.parquet", [])
+
+    monkeypatch.setattr(published, "checked_refresh", keep)
+    with pytest.raises(Exception):
+        storage.publish_checked(small).collect()
+    assert "Union" not in plans[0]
