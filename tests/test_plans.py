@@ -41,3 +41,15 @@ def test_sales_are_not_shuffled_for_the_margin(spark, small):
 def test_the_dimension_check_of_the_log_does_not_shuffle_it(spark, small):
     text = plan(catalog.queries()["join_machine_dim"](spark, SMALL))
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+def test_the_fact_is_shuffled_once_for_the_mart(spark, small):
+    """One shuffle for DISTINCT and for the join of the counts, one for the counts."""
+    from forgeline.plans import marts
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(marts.fact_supply_chain(small.ods("fact_supply_chain")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2
