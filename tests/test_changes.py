@@ -176,6 +176,23 @@ def test_an_insert_keeps_the_quote_it_saw(spark):
     assert [r.offset for r in ch.unmatched_messages(rows, quotes, parts).collect()] == [7]
 
 
+def test_quotes_of_the_fact_are_combined_before_they_are_shuffled(spark, monkeypatch):
+    """Nothing but quotes goes through a shuffle: neither fact rows, nor their keys."""
+    fact = spark.range(1000).select(
+        F.lit(1).cast("bigint").alias("trscMachineId"), F.lit(5).cast("bigint").alias("trscPartId"), F.lit(5).cast("bigint").alias("partId"),
+        (F.col("id") % 2).alias("materialId"), F.lit(2.0).alias("materialPrice"), F.lit("2000-01-01").cast("date").alias("materialPriceDate"),
+        F.lit(7.0).alias("partDefaultPrice"), F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") % 300).cast("int")).alias("timeOfProduction"),
+    )
+    value = {"machineId": 1, "partId": 5, "timeOfProduction": "2000-03-01T08:00:00", "lastUpdate": "2024-01-01T00:00:00"}
+    log = ch.with_seq(messages(spark, [("supply_chain", value), ("supply_chain", {**value, "isDeleted": True})]))
+    rows = ch.supply_chain_rows(ch.accepted(ch.parse_topic(log, "supply_chain")))
+    plans, store = {}, ch.materialize
+    monkeypatch.setattr(ch, "materialize", lambda df, label: plans.setdefault(label, plan_of(df)) and store(df, label))
+    quotes = ch.visible_quotes(fact, rows, spark.createDataFrame([(5, 5)], "trscPartId bigint, partId bigint"))
+    assert plans["held"].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plans["held"]
+    assert sorted(r.materialId for r in quotes.collect()) == [0, 1]
+
+
 def test_sales_messages_that_cannot_be_stored(spark):
     good = {"contract_number": 1, "parts": [1], "cash": [2.0], "client_name": "c", "date": "2024-01-02"}
     rows = [good, {**good, "date": "oops"}, {k: v for k, v in good.items() if k != "cash"},
@@ -291,6 +308,32 @@ def test_the_quotes_held_are_those_of_the_fact(spark, streamed):
     assert table_rows(some) == table_rows(fact.filter(bucket.isin(asked)))
 
 
+def test_a_batch_writes_the_quotes_it_changed_only(spark, streamed, tmp_path, monkeypatch):
+    """Not the buckets they are in, until a bucket was changed often enough; what is held is the fact's either way."""
+    root = str(tmp_path / "root")
+    job.compact(spark, streamed, root)
+    row = job.current_table(spark, root, "fact_supply_chain").orderBy("timeOfProduction", "trscPartId", "trscMachineId").first()
+    value = {"machineId": 10_001, "partId": row.trscPartId, "timeOfProduction": f"{row.timeOfProduction}T00:00:00", "var5": 1}
+    gone = {**value, "machineId": row.trscMachineId, "isDeleted": True}
+    bucket = keys.key_bucket("trscPartId", job.BUCKETS)
+
+    def held_after(number, values):
+        job.process_batch(messages(spark, [("supply_chain", v) for v in values]), number, root)
+        fact = job.current_table(spark, root, "fact_supply_chain").select(*job.QUOTES.fieldNames()).distinct()
+        assert table_rows(job.held_quotes(spark, root, list(range(job.BUCKETS)), number + 1)) == table_rows(fact)
+        of_bucket = fact.filter(bucket == fact.filter(F.col("trscPartId") == row.trscPartId).select(bucket).first()[0])
+        return spark.read.parquet(f"{root}/quotes/batch_id={number}").count(), of_bucket.count()
+
+    written, held = held_after(0, [value])
+    assert 0 < written < held
+    monkeypatch.setattr(job, "REWRITE_AFTER", 1)
+    written, held = held_after(1, [gone])
+    assert written == held
+    monkeypatch.undo()
+    written, held = held_after(2, [{**value, "isDeleted": True}])
+    assert written < held
+
+
 def test_the_key_log_is_not_shuffled(spark, streamed):
     """A batch looks its ids up in the buckets of these, without a shuffle of the ids known."""
     end = job.last_commit(spark, streamed)["batch_id"] + 1
