@@ -10,6 +10,19 @@ from forgeline import schemas
 from forgeline.operators import aggregates, joins, keys, quality
 from forgeline.operators.layers import conform_to_layer
 from forgeline.plans import marts
+from forgeline.session import materialize
+
+
+def test_a_table_is_not_shuffled_for_few_deletes(spark):
+    """However large the rows are that the deletes are picked from."""
+    log = materialize(spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("value")), "log")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        left = joins.delete_by_key(log.select("id"), log.filter("id % 1000 = 7").select("id"), ["id"])
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and left.count() == 20_000 - 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
