@@ -13,6 +13,14 @@ from forgeline.plans import marts
 from forgeline.session import materialize
 
 
+def test_distinct_rows_take_more_tasks_the_more_rows_there_are(spark):
+    rows = spark.range(20_000).select((F.col("id") % 15_000).alias("a"), (F.col("id") % 15_000 % 7).alias("b"))
+    found = aggregates.distinct_rows(rows, rows_per_task=500)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 15_000 and len(sizes) >= 35 and max(sizes) < 1_000
+    assert sorted(map(tuple, found.collect())) == [(n, n % 7) for n in range(15_000)]
+
+
 def test_a_table_is_not_shuffled_for_few_deletes(spark):
     """However large the rows are that the deletes are picked from."""
     log = materialize(spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("value")), "log")
