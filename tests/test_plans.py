@@ -3,6 +3,7 @@
 import pytest
 
 from forgeline import catalog
+from forgeline.catalog import registry
 
 from conftest import SMALL
 
@@ -53,3 +54,19 @@ def test_the_fact_is_shuffled_once_for_the_mart(spark, small):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert text.count("Exchange hashpartitioning") == 2
+
+
+@pytest.mark.parametrize("name, tables", [
+    ("apply_contract", {"dim_part_information", "dim_contract", "fact_sales"}),
+    ("join_margin_inputs", {"fact_sales", "fact_supply_chain"}),
+])
+def test_tables_a_query_reads_are_loaded_together(spark, small, monkeypatch, name, tables):
+    """One after the other, they would build the rows they share once each."""
+    def load(*args):
+        raise LookupError(set(args[-1]))
+
+    monkeypatch.setattr(registry.run, "load_ods", load)
+    monkeypatch.setattr(registry, "_loaded", {})
+    with pytest.raises(LookupError) as first:
+        registry.QUERIES[name](spark, small.sf_dir)
+    assert first.value.args[0] == tables
