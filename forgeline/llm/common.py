@@ -60,15 +60,15 @@ def unpacked(rows: DataFrame) -> DataFrame:
     return rows.select("row.*")
 
 
-def slices(texts: pa.Array) -> Iterator[list[str]]:
-    """The texts of an Arrow array, null as empty, in lists of about SLICE_CHARS."""
+def slices(texts: pa.Array, chars: int = SLICE_CHARS) -> Iterator[list[str]]:
+    """The texts of an Arrow array, null as empty, in lists of about ``chars`` characters."""
     held: list[str] = []
     size = 0
     for value in texts:
         text = value.as_py() or ""
         held.append(text)
         size += len(text)
-        if size >= SLICE_CHARS:
+        if size >= chars:
             yield held
             held, size = [], 0
     if held:

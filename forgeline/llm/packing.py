@@ -1,8 +1,8 @@
 """Packing documents into sequences along a space-filling curve.
 
 Each document gets a hashed vector of its byte 4-grams, a fixed random projection of it to three
-dimensions, and the place of that point on a Hilbert curve. Spark sorts the documents by range of that
-key, and each task cuts its stretch of the curve into sequences: neighbours on the curve share
+dimensions, and the place of that point on a Hilbert curve. Spark deals the documents out by range of that
+key, between quantiles of one document in sixteen, and each task cuts its stretch of the curve into sequences: neighbours on the curve share
 them. Documents are cut wherever a sequence ends. What is left at the end of a task's stretch is
 cut into lengths that are powers of two, which need no padding, so tasks need not know of each
 other and nothing is ever padded.
@@ -13,7 +13,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,10 @@ BITS = 10
 ROWS = 1024
 #: Places of the hashed vector.
 PLACES = 256
+#: One in so many documents has a say in where the ranges of the curve end; all are packed.
+BORDERS_OF = 16
+#: Bits of a hash by which documents at one point of the curve are told apart.
+TIES = 22
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 
 
@@ -68,14 +72,14 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(8).choice([-1.0, 1.0], (PLACES, DIMENSIONS)) * np.sqrt(3.0)
 
 
-def curve_key(text: Column) -> Column:
-    """Place on the curve of a whole text's hashed vector; null and empty texts lie in the middle of the cube."""
+def _curve_keys() -> Callable[[pa.Array], np.ndarray]:
+    """Places on the curve of whole texts' hashed vectors; null and empty texts lie in the middle of the cube."""
     projection = _projection()
 
-    def keys(texts: pa.Array) -> pa.Array:
+    def keys(texts: pa.Array) -> np.ndarray:
         n = len(texts)
         if not n:
-            return pa.array([], pa.int64())
+            return np.zeros(0, np.int64)
         texts = texts.cast(pa.large_string()).fill_null("")
         ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
@@ -93,9 +97,36 @@ def curve_key(text: Column) -> Column:
             points[i] = vector @ projection / max(float(np.linalg.norm(vector)), 1e-9)
         # A normal variable's rank is nearly uniform, which fills the cube evenly.
         level = 1 / (1 + np.exp(-1.7 * points))
-        return pa.array(hilbert(np.minimum(level * (1 << BITS), (1 << BITS) - 1).astype(np.int64), BITS))
+        return hilbert(np.minimum(level * (1 << BITS), (1 << BITS) - 1).astype(np.int64), BITS)
+
+    return keys
+
+
+def curve_key(text: Column) -> Column:
+    """Place on the curve of a whole text."""
+    keys = _curve_keys()
+    return F.arrow_udf(lambda texts: pa.array(keys(texts)), "bigint")(text)
+
+
+def _ranged(docs: DataFrame) -> DataFrame:
+    """The rows (id, text), with ``curve``, in ranges of the curve of about equal numbers of documents, as many as
+    the session's shuffles are wide. Copies, which share a point, are dealt out by a hash."""
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    length = F.length("text")
+    tie = F.pmod(F.xxhash64("id", length), F.lit(1 << TIES))
+    some = docs.where(F.pmod(F.xxhash64("id", length, F.lit("border")), F.lit(BORDERS_OF)) == 0)
+    some = some.select((curve_key(F.col("text")) * (1 << TIES) + tie).alias("place"))
+    borders = some.agg(F.percentile_approx("place", [k / width for k in range(1, width)] or [1.0], 10 * width)).first()[0]
+    borders, keys = np.array(borders or [], np.int64), _curve_keys()
+    kind = pa.struct([("curve", pa.int64()), ("part", pa.int32())])
+
+    def ranges(texts: pa.Array, ties: pa.Array) -> pa.Array:  # both in one function, so that a task needs one process
+        curve = keys(texts)
+        part = np.searchsorted(borders, (curve << TIES) + ties.to_numpy(zero_copy_only=False), "right")
+        return pa.StructArray.from_arrays([pa.array(curve), pa.array(part % width, pa.int32())], fields=list(kind))
 
-    return F.arrow_udf(keys, "bigint")(text)
+    along = docs.withColumn("at", F.arrow_udf(ranges, "curve bigint, part int")("text", tie))
+    return along.select("id", "text", "at.*").repartitionById(width, F.col("part"))
 
 
 class _Cutter:
@@ -167,8 +198,7 @@ def pack(
 
         held: list[tuple] = []
         for batch in batches:
-            for doc, body in zip(batch.column("id"), batch.column("text")):
-                ids = encode(body.as_py() or "")
+            for doc, ids in zip(batch.column("id"), encode.column(batch.column("text"))):
                 held += cutter.add(doc.as_py(), np.append(ids, ids.dtype.type(END_ID)))
                 if len(held) >= ROWS:
                     yield rows(held)
@@ -177,9 +207,8 @@ def pack(
         if held:
             yield rows(held)
 
-    base = packed(docs, id=f"{doc_id}:bigint", text=text).drop("row").withColumn("curve", curve_key(F.col("text")))
-    along = base.repartitionByRange("curve", "id").sortWithinPartitions("curve", "id")
-    return along.select("id", "text").mapInArrow(cut, PIECES)
+    base = packed(docs, id=f"{doc_id}:bigint", text=text).drop("row")
+    return _ranged(base).sortWithinPartitions("curve", "id").select("id", "text").mapInArrow(cut, PIECES)
 
 
 def tokenizer_path() -> str:

@@ -4,6 +4,7 @@ repeated rows, empty tables and columns whose names the operators use themselves
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -336,6 +337,34 @@ def test_packing(docs, none):
     assert packing.op8(none).count() == 0
 
 
+def test_new_words_of_many_texts_are_encoded_together(monkeypatch):
+    """Texts encoded together have the ids each has alone, at a few calls of the tokenizer for all of them."""
+    from forgeline.llm.tokens import Encoder
+
+    rng = np.random.default_rng(11)
+    gaps = [" ", " ", " ", "  ", "\n", " \n", "\n ", "\t", "\r\n", "   ", "\n\n "]
+    texts = ["", " ", "\n", "  a", "a  ", " \n ", "müde – 漢字 don't", "odd gap", "fi\x1cle", "x" * 50]
+    for _ in range(200):
+        words = ["".join(chr(c) for c in rng.choice([97, 101, 116, 233, 39, 44, 8364, 0x1F600], 4)) for _ in range(20)]
+        texts.append("".join(w + gaps[int(rng.integers(len(gaps)))] for w in words))
+    for path in (packing.tokenizer_path(), repair.tokenizer_path()):
+        encoder, calls = Encoder(path), []
+        together = encoder._together
+        monkeypatch.setattr(encoder, "_together", lambda words: calls.append(len(words)) or together(words))
+        got = list(encoder.column(pa.array([*texts, None])))
+        assert [g.tolist() for g in got] == [encoded(path, t, 0)[:-1] for t in [*texts, None]]
+        assert max(calls) > 500 and len(calls) < len(texts)
+
+
+def test_packing_computes_the_curve_once(spark, docs, monkeypatch):
+    """Ranges of the curve come from some of the documents; all are packed, copies in several ranges."""
+    assert "rangepartitioning" not in packing.pack(docs, packing.tokenizer_path())._jdf.queryExecution().toString()
+    rows = spark.createDataFrame([(k, "the same words again and again") for k in range(4000)], "doc_id bigint, text string")
+    ranged = packing._ranged(rows.withColumnRenamed("doc_id", "id"))
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) >= 4 and max(sizes) < 2 * 4000 / 8
+
+
 def test_hilbert_visits_neighbours():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     order = np.argsort(packing.hilbert(grid, 3))
