@@ -11,7 +11,8 @@ For large distances (similarity 0.8 on longer fingerprints) no exact allocation
 There the least certain bits of each partition are flipped instead, those whose sum is nearest to
 the majority threshold; the same dynamic programme deals the flips out, so that pairs at the
 wanted similarity meet with the wanted probability at the least estimated cost. What is near by
-fingerprint is then filtered by sketches of the shingle sets and verified on the sets themselves.
+fingerprint, and by 32 one-bit minima of the shingle set that the buckets carry along, is then filtered by sketches
+of the sets and verified on the sets themselves.
 
 Equal fingerprints (with flips: of equal sets of shingles) are one class from the start, so copies cost
 nothing. Buckets that many
@@ -50,6 +51,12 @@ GOLDEN, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 PRINT = pa.struct([("w", pa.list_(pa.int64())), ("margin", pa.binary()), ("sketch", pa.binary())])
 #: Bytes of a sketch: one per bin of shingle hashes, from the smallest of the bin; 0 if it is empty.
 SKETCH = 256
+#: Of the signs, one bit each from the least shingle hash under so many orders, this many differ at most at the wanted
+#: similarity of 0.8 (one in ten on average, more than these with odds of 1 in 20,000); of unlike texts, half do.
+ORDERS = np.random.default_rng(SEED).integers(0, 1 << 63, 32, np.uint64) * np.uint64(2) + np.uint64(1)
+UNLIKE = 11
+#: Rounds in which each class is held against the nearest of those it may be linked to, before all are compared.
+ROUNDS = 2
 #: What a sketch's estimate may be short of the wanted similarity: four of its deviations at 0.8.
 SLACK = 0.1
 
@@ -72,7 +79,7 @@ class SimHash:
 
     @property
     def width(self) -> int:
-        """Longs that tell classes apart: with flips, the last is a hash of the set of shingles."""
+        """Longs that tell classes apart: with flips, the last is made of the signs and of a hash of the set of shingles."""
         return self.longs + (self.flips > 0)
 
 
@@ -90,6 +97,14 @@ def _sketch(h: np.ndarray) -> bytes:
     return np.where(least == np.iinfo(np.uint64).max, np.uint8(0), values).tobytes()
 
 
+def _signs(h: np.ndarray) -> np.uint64:
+    """One bit of the least hash in each of the ORDERS, of distinct hashes."""
+    least = np.full(len(ORDERS), np.iinfo(np.uint64).max, np.uint64)
+    for first in range(0, len(h), 1 << 14):
+        least = np.minimum(least, (ORDERS[:, None] * h[None, first : first + (1 << 14)]).min(1))
+    return ((np.bitwise_count(least).astype(np.uint64) & np.uint64(1)) << np.arange(len(ORDERS), dtype=np.uint64)).sum(dtype=np.uint64)
+
+
 def _shingles(text: str, how: SimHash) -> np.ndarray:
     """The hashes of a text's shingles, as often as they occur; none without words."""
     body = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, gaps 09-0D and 20
@@ -108,7 +123,11 @@ def _print_of(text: str, how: SimHash) -> tuple[list[int], bytes | None, bytes |
     count = len(h)
     if not count:
         return [0] * how.width, *((bytes(how.bits), bytes(SKETCH)) if how.flips else (None, None))
-    of_set = np.array([xxhash.xxh64_intdigest(np.unique(h).tobytes(), SEED)], "<u8").view("<i8").tolist() if how.flips else []
+    of_set = []
+    if how.flips:
+        distinct = np.unique(h)
+        of_set = [_signs(distinct) << np.uint64(32) | np.uint64(xxhash.xxh32_intdigest(distinct.tobytes(), SEED))]
+        of_set = np.array(of_set, "<u8").view("<i8").tolist()
     counts, sketch = [], _sketch(h) if how.flips else None
     for _ in range(how.longs):
         padded = np.zeros((-len(h) % 255 + len(h)), np.uint64)
@@ -338,7 +357,16 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((x ^ y).view(np.uint64)).sum(1)
 
 
-def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _close(x: np.ndarray, y: np.ndarray, distance: int, longs: int) -> np.ndarray:
+    """Whether fingerprints are near each other, and the signs, if these follow the fingerprints."""
+    far = np.bitwise_count((x ^ y).view(np.uint64))
+    near = far[:, :longs].sum(1) <= distance
+    if x.shape[1] > longs:
+        near &= np.bitwise_count((x[:, longs] ^ y[:, longs]).view(np.uint64) >> np.uint64(32)) <= UNLIKE
+    return near
+
+
+def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int, longs: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted bucket members to the places that stay, and links (a, b) of those that leave.
 
     In a run of more than PAIRWISE members the first is the leader, members near it are linked to it and
@@ -350,7 +378,7 @@ def _reduced(keys: np.ndarray, prints: np.ndarray, distance: int) -> tuple[np.nd
     for k in np.flatnonzero(np.diff(edges) > PAIRWISE):
         left = np.arange(edges[k], edges[k + 1])
         while len(left):
-            near = _apart(prints[left], prints[left[:1]]) <= distance
+            near = _close(prints[left], prints[left[:1]], distance, longs or prints.shape[1])
             near[0] = False
             gone = left[near]
             stay[gone] = False
@@ -372,15 +400,15 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
     """
     width, names = how.width, [f"a{k}" for k in range(how.width)]
 
-    def bits(prints: np.ndarray) -> np.ndarray:
-        return prints[:, : how.longs]
+    def close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return _close(x, y, how.distance, how.longs)
 
     def linked(keys: np.ndarray, prints: np.ndarray) -> Iterator[pa.RecordBatch]:
         for lag in range(1, len(keys)):
             at = np.flatnonzero(keys[lag:] == keys[:-lag])
             if not len(at):
                 break
-            near = at[_apart(bits(prints[at]), bits(prints[at + lag])) <= how.distance]
+            near = at[close(prints[at], prints[at + lag])]
             if len(near):
                 yield _bucket_rows(None, prints[near], prints[near + lag])
 
@@ -388,7 +416,7 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         """The links of one bucket, or None if there are too many."""
         a, b, count = [], [], 0
         for i in range(len(prints) - 1):
-            near = np.flatnonzero(_apart(bits(prints[i + 1 :]), bits(prints[i : i + 1])) <= how.distance) + i + 1
+            near = np.flatnonzero(close(prints[i + 1 :], prints[i : i + 1])) + i + 1
             count += len(near)
             if count > PAIRWISE * len(prints):
                 return None
@@ -419,7 +447,7 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
         fresh = fresh[fresh >= known]
         yield _bucket_rows(keys[fresh], prints[fresh], None)
         led = np.flatnonzero(dense)
-        stay, a, b = _reduced(keys[led], bits(prints[led]), how.distance)
+        stay, a, b = _reduced(keys[led], prints[led], how.distance, how.longs)
         yield _bucket_rows(None, prints[led[a]], prints[led[b]])
         if not whole:
             held = np.arange(open_at, len(keys))
@@ -445,7 +473,7 @@ def _met_in_buckets(buckets: DataFrame, how: SimHash) -> DataFrame:
 
 
 def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
-    """(a, b): names of the members of a dense bucket that are near each other and have no common root yet.
+    """(a, b, apart): names of the members of a dense bucket that are near each other and have no common root yet.
 
     With these, every pair of a dense bucket is either compared or in one component
     already. Members are dealt into blocks of about BLOCK and each pair of blocks is a task's cell, so that
@@ -465,7 +493,7 @@ def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimH
     def compared(cell: pa.Table) -> Iterator[pa.RecordBatch]:
         cell = cell.combine_chunks()
         n, apart = cell.num_rows, cell["x"][0] != cell["y"][0]
-        prints = np.array(cell["w"].to_pylist(), np.int64).reshape(n, -1)[:, :longs]
+        prints = np.array(cell["w"].to_pylist(), np.int64).reshape(n, -1)
         sketches = np.frombuffer(b"".join(cell["sketch"].to_pylist()), np.uint8).reshape(n, SKETCH)
         block, names = cell["block"].to_numpy(), cell["node"]
         root = np.unique(np.array(cell["root"].to_pylist()), return_inverse=True)[1]
@@ -474,11 +502,12 @@ def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimH
             if apart:
                 other &= block[i + 1 :] != block[i]
             at = np.flatnonzero(other) + i + 1
-            at = at[_apart(prints[at], prints[i : i + 1]) <= how.distance]
+            at = at[_close(prints[at], prints[i : i + 1], how.distance, longs)]
             at = at[_alike(sketches[at], sketches[i : i + 1], how)]
             if len(at):
                 a = pa.array([names[i].as_py()] * len(at), pa.string())
-                yield pa.RecordBatch.from_arrays([a, names.take(pa.array(at)).combine_chunks()], names=["a", "b"])
+                far = pa.array(_apart(prints[at, :longs], prints[i : i + 1, :longs]), pa.int32())
+                yield pa.RecordBatch.from_arrays([a, names.take(pa.array(at)).combine_chunks(), far], names=["a", "b", "apart"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -494,14 +523,20 @@ def _crossed(members: DataFrame, roots: DataFrame, classes: DataFrame, how: SimH
             yield from compared(held)
 
     dealt = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    pairs = dealt.mapInArrow(compare, "a string, b string")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = dealt.mapInArrow(compare, "a string, b string, apart int")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart").distinct()
 
 
 def _named(links: DataFrame, how: SimHash) -> DataFrame:
-    """Links as (a, b) of fingerprint names."""
+    """Links as (a, b) of fingerprint names; with flips, a < b, and ``apart`` says how many bits differ."""
     side = lambda c: _hex([F.col(f"{c}{k}") for k in range(how.width)]).alias(c)
-    return links.select(side("a"), side("b")).where("a <> b").distinct()
+    if not how.flips:
+        return links.select(side("a"), side("b")).where("a <> b").distinct()
+    apart = F.lit(0)
+    for k in range(how.longs):
+        apart = apart + F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}")))
+    named = links.select(side("a"), side("b"), apart.alias("apart")).where("a <> b")
+    return named.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "apart").distinct()
 
 
 def _pairs(buckets: DataFrame, how: SimHash) -> DataFrame:
@@ -532,8 +567,8 @@ def _alike(a: np.ndarray, b: np.ndarray, how: SimHash) -> np.ndarray:
     return (equal - 1 / 255) / (1 - 1 / 255) >= how.similarity - SLACK
 
 
-def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
-    """The links whose sketches, too, say that the shingles may be as similar as wanted."""
+def _similar(near: DataFrame, of: DataFrame, how: SimHash) -> DataFrame:
+    """The links whose sketches (node, sketch), too, say that the shingles may be as similar as wanted."""
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -541,7 +576,6 @@ def _similar(near: DataFrame, classes: DataFrame, how: SimHash) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(n, SKETCH) for c in ("as", "bs"))
             yield batch.select(["a", "b"]).filter(pa.array(_alike(a, b, how)))
 
-    of = classes.select("node", "sketch")
     rows = near.join(of.withColumnsRenamed({"node": "a", "sketch": "as"}), "a").join(of.withColumnsRenamed({"node": "b", "sketch": "bs"}), "b")
     return rows.select("a", "b", "as", "bs").mapInArrow(verified, "a string, b string")
 
@@ -573,25 +607,39 @@ def _exact(pairs: DataFrame, texts: DataFrame, how: SimHash) -> DataFrame:
     return rows.select("a", "b", "as", "bs").mapInArrow(verified, "a string, b string")
 
 
-def _verified(near: DataFrame, classes: DataFrame, texts: DataFrame, how: SimHash) -> DataFrame:
-    """Links that join what all pairs of ``near`` with similar texts join.
+def _verified(near: DataFrame, classes: DataFrame, texts: DataFrame, how: SimHash, sure: DataFrame | None = None) -> DataFrame:
+    """Links that join what ``sure`` and all pairs (a, b, apart) of ``near`` with similar texts join; ``near`` has none
+    that ``sure`` joins.
 
-    First each class is held against the least of those near it. Of the pairs only those matter then that
-    go from one component of what was found to another, so a large group of copies, which one class
-    stands for, is not compared pair by pair.
+    First each class is held against the nearest of those near it. Of the other pairs only those matter then that
+    go from one component of what was found to another, and so again, for ROUNDS; what is left is compared as it is. So
+    the classes of a large group of near copies, most pairs of which are similar, are not compared pair by pair.
     """
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("b")).where("b < a")
-    first = materialize(_exact(materialize(_similar(least, classes, how), "near-alike"), texts, how), "near-links")
-    roots = components(first)
-    for side in ("a", "b"):
-        of = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        near = near.join(of, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-    apart = materialize(near.where("root_a <> root_b").select("a", "b"), "near-apart")
-    if apart.isEmpty():
-        return first
-    rest = _exact(materialize(_similar(apart, classes, how), "near-alike"), texts, how)
-    return first.unionByName(materialize(rest, "near-links"))
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    sketches = materialize(classes.select("node", "sketch").join(nodes, "node", "left_semi"), "near-sketches")
+    found = sure
+    for k in range(ROUNDS + 1):
+        wanted = near.select("a", "b")
+        if k < ROUNDS:
+            both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+            nearest = both.groupBy("a").agg(F.min(F.struct("apart", "b")).getField("b").alias("b"))
+            wanted = nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            wanted = materialize(wanted, "near-nearest")
+        alike = _exact(materialize(_similar(wanted, sketches, how), "near-alike"), texts, how)
+        alike = materialize(alike, "near-links")
+        found = alike if found is None else found.unionByName(alike)
+        if k == ROUNDS:
+            break
+        roots = materialize(components(found), "near-joined")
+        found = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        rest = near.join(wanted, ["a", "b"], "left_anti")
+        for side in ("a", "b"):
+            of = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+            rest = rest.join(of, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+        near = materialize(rest.where("root_a <> root_b").select("a", "b", "apart"), "near-apart")
+        if near.isEmpty():
+            break
+    return found
 
 
 def links(classes: DataFrame, how: SimHash, texts: DataFrame | None = None) -> DataFrame:
@@ -606,7 +654,7 @@ def links(classes: DataFrame, how: SimHash, texts: DataFrame | None = None) -> D
         if members.isEmpty():
             return sure
         crossed = materialize(_crossed(members, components(sure), classes, how), "near-crossed")
-        return sure.unionByName(_exact(crossed, texts, how))
+        return sure if crossed.isEmpty() else _verified(crossed, classes, texts, how, sure)
     buckets = materialize(buckets, "near-buckets")
     if how.distance != 2 or how.longs != 1:
         return _named(_pairs(buckets, how), how)
@@ -625,8 +673,17 @@ def grouped(docs: DataFrame, how: SimHash = THREE_WORDS, text: str = "text", doc
     has an id); ``component`` names it always. Null, empty and blank texts have fingerprint zero
     and are linked like any other. Repeated rows share everything. An empty table gives no rows.
     """
+    prints, of_class = _classed(docs, how, text, doc_id, keep_rows)
+    rows = prints.drop("text", "w", "margin", "sketch", "place").join(of_class, "node")
+    rows = rows.withColumnsRenamed({"node": "fingerprint", "root": "component"})
+    return rows.withColumn("fingerprint", F.substring("fingerprint", 1, 16 * how.longs)) if how.flips else rows
+
+
+def _classed(docs: DataFrame, how: SimHash, text: str, doc_id: str, keep_rows: bool) -> tuple[DataFrame, DataFrame]:
+    """The stored rows with the name of their class (``node``), with ``keep_rows`` numbered (``place``); the component
+    of each class (node, root, component_id)."""
     base = packed(docs, id=f"{doc_id}:bigint", text=text)
-    base = base if keep_rows else base.drop("row")
+    base = base.withColumn("place", F.monotonically_increasing_id()) if keep_rows else base.drop("row")
     prints = base.withColumn("print", fingerprint(F.col("text"), how)).select("*", "print.*").drop("print")
     in_row = keep_rows and text in docs.columns
     prints = prints if how.flips and not in_row else prints.drop("text")  # rows have it already
@@ -640,16 +697,17 @@ def grouped(docs: DataFrame, how: SimHash = THREE_WORDS, text: str = "text", doc
     found = classes.select("node", "least").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
     found = materialize(found, "near-roots")
     least = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = materialize(found.drop("least").join(least, "root"), "near-components")
-    rows = prints.drop("text", "w", "margin", "sketch").join(of_class, "node").withColumnsRenamed({"node": "fingerprint", "root": "component"})
-    return rows.withColumn("fingerprint", F.substring("fingerprint", 1, 16 * how.longs)) if how.flips else rows
+    return prints, materialize(found.drop("least").join(least, "root"), "near-components")
 
 
 def distinct_documents(docs: DataFrame, how: SimHash = FIVE_WORDS, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each component, the one with its smallest id (any of them if rows repeat it, or
-    have none), with the columns of ``docs``."""
-    rows = grouped(docs, how, text, doc_id).where(F.col("id").eqNullSafe(F.col("component_id")))
-    return unpacked(rows.dropDuplicates(["component"]))
+    have none), with the columns of ``docs``. Which ones is settled on their numbers, so that the rows
+    themselves are moved once at most."""
+    prints, of_class = _classed(docs, how, text, doc_id, True)
+    least = prints.select("node", "id", "place").join(of_class, "node").where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = materialize(least.groupBy("root").agg(F.min("place").alias("place")).select("place"), "near-kept")
+    return unpacked(prints.select("place", "row").join(kept, "place", "left_semi"))
 
 
 def op2(docs: DataFrame) -> DataFrame:

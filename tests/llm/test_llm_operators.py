@@ -160,6 +160,45 @@ def test_near_copies_are_verified_on_their_shingles(spark, monkeypatch):
     assert parts({r.id: r.component_id for r in got}) == parts(dict(enumerate(root)))
 
 
+def test_a_family_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    """Texts each copied from an earlier one with a few words changed: the pairs compared follow the texts."""
+    rng = np.random.default_rng(9)
+    family = [[f"w{x}" for x in rng.integers(0, 5000, 500)]]
+    for k in range(1, 240):
+        text = list(family[int(rng.integers(len(family)))])
+        for at in rng.choice(500, int(rng.integers(1, 3)), replace=False):
+            text[at] = f"own{k}x{at}"
+        family.append(text)
+    sets = [shingles(" ".join(t)) for t in family]
+    pairs = [(a, b) for a in range(240) for b in range(a) if jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(pairs) > 10 * 240
+    compared, exact = [], simhash._exact
+    monkeypatch.setattr(simhash, "_exact", lambda pairs, texts, how: compared.append(pairs.count()) or exact(pairs, texts, how))
+    monkeypatch.setattr(simhash, "plan", lambda classes, how: simhash.Plan(((0,), (1,)), (1, 1)))
+    monkeypatch.setattr(simhash, "PAIRWISE", 400)  # all links of a bucket come out of it
+    rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(family)], "doc_id bigint, text string")
+    got = {r.id: r.component_id for r in simhash.grouped(rows, simhash.FIVE_WORDS).select("component_id", "id").collect()}
+    assert all(got[a] == got[b] for a, b in pairs)
+    assert sum(compared) < 2 * 240
+
+
+def test_unlike_texts_differ_in_their_signs():
+    texts = [" ".join(t) for t in np.random.default_rng(4).choice([f"w{k}" for k in range(200)], (60, 120))]
+    changed = [t.split()[:-8] + ["x"] * 8 for t in texts]
+    prints, near = (np.array([simhash._print_of(t, simhash.FIVE_WORDS)[0] for t in part]) for part in (texts, [" ".join(c) for c in changed]))
+    assert all(simhash._close(prints[k : k + 1], near[k : k + 1], 128, 2)[0] for k in range(60))
+    unlike = np.concatenate([simhash._close(prints[k + 1 :], prints[k : k + 1], 128, 2) for k in range(59)])
+    assert unlike.mean() < 0.12
+
+
+def test_texts_are_not_moved_to_be_judged_or_deduplicated(spark, docs):
+    """Only numbers are joined to labels, and only numbers are gathered by component."""
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(8)], "doc_id bigint, quality int, toxic int")
+    for rows in (quality.good_documents(docs, labels), simhash.distinct_documents(docs)):
+        assert "Exchange hashpartitioning(component" not in rows._jdf.queryExecution().toString()
+        assert "Aggregate" not in rows._jdf.queryExecution().toString()
+
+
 def test_allocation_is_the_cheapest():
     costs = [[0.0, 4.0, 9.0], [0.0, 1.0, 2.0], [0.0, 5.0, 5.5]]
     assert simhash.allocate(costs, 3)[1] == min(a + b + c for i, a in enumerate(costs[0]) for j, b in enumerate(costs[1]) for k, c in enumerate(costs[2]) if i + j + k >= 3)
