@@ -147,8 +147,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, text: str = "text", doc_id
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            for name, body in zip(batch.column("id"), batch.column("text")):
-                found = encode(body.as_py() or "")
+            for name, found in zip(batch.column("id"), encode.column(batch.column("text"))):
                 names.append(name.as_py())
                 ids.append(np.append(found, found.dtype.type(END_ID)))
                 held += len(ids[-1])
