@@ -1,13 +1,30 @@
 """What keeps time and disk from growing faster than the tables."""
 
 import datetime
+import time
 from decimal import ROUND_HALF_UP, Context, Decimal
 from hashlib import md5
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from forgeline import schemas
+from forgeline.catalog.registry import QUERIES
+from forgeline.plans import marts
+from forgeline.session import noted_work
 from forgeline.sinks import contents as summed
-from forgeline.sinks import published
+from forgeline.sinks import parquet, published
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return sum(blocks.apply(k).name().startswith("shuffle_") for k in range(blocks.size()))
 
 
 def test_checksums_hash_arrays_of_texts(monkeypatch):
@@ -51,3 +68,45 @@ def test_a_restored_snapshot_is_verified_once(spark, tmp_path):
     report = published.restore_snapshot(spark, root, "x", ["a"], str(tmp_path / "back"))
     assert report.inputFiles() and not any("snapshots" in path for path in report.inputFiles())
     assert [tuple(r) for r in report.collect()] == [("a", 9, True)]
+
+
+def test_the_sorted_mart_is_shuffled_once(spark):
+    """The ranges of the sort serve DISTINCT and the counts as well."""
+    df = QUERIES["sort_fact_supply_chain"](spark, SMALL)
+    plan = plan_of(df)
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan and plan.count("Sort ") == 1
+    machines = [r.machineId for r in df.select("machineId").collect()]
+    assert machines == sorted(machines) and len(machines) == df.count()
+
+
+def test_the_mart_in_ranges_is_clustered_without_a_shuffle(spark, small):
+    fact = small.ods("fact_supply_chain")
+    fact = fact.unionByName(fact.limit(50)).unionByName(fact.limit(3).withColumn("timeId", F.lit(None).cast("int")))
+    keys = schemas.KEYS["fact_supply_chain"]
+    plain = marts.fact_supply_chain(fact, keep_undamaged=True)
+    ranged = marts.fact_supply_chain(fact, keep_undamaged=True, order=keys[:3])
+    assert sorted(map(str, ranged.collect())) == sorted(map(str, plain.collect()))
+    plan = plan_of(parquet.cluster_by_key(ranged, keys, spread=["materialPrice", "materialPriceDate", "partDefaultPrice"]))
+    assert plan.count("rangepartitioning") == 1 and "hashpartitioning" not in plan and plan.count("Sort ") == 1
+
+
+def test_the_mart_leaves_one_stored_table(spark, small):
+    fact = small.ods("fact_supply_chain")
+    with noted_work() as made:
+        mart = marts.fact_supply_chain(fact)
+    assert len(made) == 1 and "place-counts" in made[0]
+    assert mart.count() > 0
+
+
+def test_what_a_query_shuffled_goes_with_it(spark, small):
+    fact = small.ods("fact_supply_chain")
+    spark._jvm.System.gc()
+    time.sleep(1)
+    before = shuffle_files(spark)
+    counted = fact.groupBy("partId", "timeId").count()
+    first = sorted(counted.collect())
+    deadline = time.time() + 20
+    while shuffle_files(spark) > before and time.time() < deadline:
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+    assert sorted(counted.collect()) == first  # worked out again
