@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from forgeline import schemas
 from forgeline.catalog.registry import QUERIES
-from forgeline.plans import marts
+from forgeline.plans import marts, staging
 from forgeline.session import noted_work
 from forgeline.sinks import contents as summed
 from forgeline.sinks import parquet, published
@@ -110,3 +110,28 @@ def test_what_a_query_shuffled_goes_with_it(spark, small):
         time.sleep(0.1)
     assert shuffle_files(spark) <= before
     assert sorted(counted.collect()) == first  # worked out again
+
+
+def test_stored_tables_and_messages_are_packed(spark, small, tmp_path):
+    small.ods_with("dim_machine")
+    assert all(path.endswith(".zstd.parquet") for path in small.ods("dim_machine").inputFiles())
+    files = spark.read.text(small.message_files).inputFiles()
+    assert files and all(path.endswith(".json.gz") for path in files)
+    assert small.messages.count() == small.table("events").count()
+
+
+def test_parts_that_lie_together_are_replaced_without_a_shuffle(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    rows = spark.range(40).select("id", (F.col("id") % 4).cast("int").alias("year")).coalesce(2)
+    published.replace_parts(rows, root, "year")
+    monkeypatch.setattr(type(rows), "hint", None)
+    published.replace_parts(rows.filter("year > 1 AND id > 20"), root, "year", [2, 3], rebalance=False)
+    got = sorted(r.id for r in published.read_published(spark, root).collect())
+    assert got == [k for k in range(40) if k % 4 < 2 or k > 20]
+
+
+def test_the_long_cells_of_few_files_are_read_by_all_tasks(spark, small):
+    whole = small.part_raw.coalesce(1)
+    bridge = staging.build_part_bridge(whole, small.run_ts)
+    assert bridge.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bridge.count() == small.bridge.count() > 0
